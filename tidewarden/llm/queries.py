@@ -9,13 +9,17 @@ from .neighbours import OP10_SQL, op10_nearest_neighbours
 from .packing import op2_packing
 from .quality_rules import OP7_SQL, op7_quality_rules
 from .sequences import op9_token_output
+from .simhash import op4_simhash
+from .suffixes import op8_suffix_dedup
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_packing": op2_packing,
     "op3_mixing": op3_mixing,
+    "op4_simhash": op4_simhash,
     "op5_quality_classifier": op5_quality_classifier,
     "op7_quality_rules": op7_quality_rules,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_token_output": op9_token_output,
     "op10_nearest_neighbours": op10_nearest_neighbours,
 }
