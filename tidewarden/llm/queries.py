@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .classifier import op5_quality_classifier
+from .language_model import op6_language_model
 from .licenses import OP1_SQL, op1_license_scan
 from .mixing import OP3_SQL, op3_mixing
 from .neighbours import OP10_SQL, op10_nearest_neighbours
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_simhash": op4_simhash,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_language_model": op6_language_model,
     "op7_quality_rules": op7_quality_rules,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_token_output": op9_token_output,
