@@ -72,17 +72,9 @@ def _cut(rows: DataFrame, keys: list[str], want: Column) -> DataFrame:
     return done.unionByName(last)
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float | None = None, max_epochs: float = 3.0, seed: str = SEED, carry: bool = False) -> DataFrame:
-    """(doc_id, source, size, source_size, target, epochs): epochs is how often the mix repeats the document.
-
-    With ``carry`` the input's own columns come along in a struct ``row``.
-    """
-    key = F.coalesce(F.col("source"), F.lit(""))
-    cols = [F.col("doc_id"), key.alias("source_key"), F.col("source").isNull().cast("int").alias("no_source"), word_count(F.col("text")).alias("size")]
-    hashed = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    sizes = docs.select(*cols, hashed.alias("seeded"), *([F.struct("*").alias("row")] if carry else []))
-    if not carry:
-        sizes = materialise(sizes, "mix-sizes")
+def _decided(docs: DataFrame, weights: tuple[int, ...], budget: float | None, max_epochs: float, seed: str) -> DataFrame:
+    """One row per document, without its text: source, sizes, target, whole epochs, and whether one more."""
+    sizes = materialise(_sized(docs, seed).select("doc_id", "source_key", "no_source", "size", "seeded"), "mix-sizes")
     per = materialise(source_table(sizes, weights), "mix-sources")
     level = water_level(per, budget, max_epochs)
     cap = F.col("source_size") * max_epochs
@@ -92,9 +84,37 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float | Non
     rows = rows.withColumn("whole", F.floor(F.when(F.col("source_size") == 0, 0.0).otherwise(F.try_divide("target", "source_size"))))
     rest = F.col("target") - F.col("whole") * F.col("source_size")
     out = _cut(rows, ["no_source", "source_key"], rest)
+    return out.withColumn("extra", F.col("extra") & (F.col("whole") < max_epochs))
+
+
+def _sized(docs: DataFrame, seed: str) -> DataFrame:
+    hashed = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    return docs.select(
+        "doc_id", F.coalesce(F.col("source"), F.lit("")).alias("source_key"), F.col("source").isNull().cast("int").alias("no_source"),
+        word_count(F.col("text")).alias("size"), hashed.alias("seeded"), F.struct("*").alias("row"),
+    )
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float | None = None, max_epochs: float = 3.0, seed: str = SEED) -> DataFrame:
+    """(doc_id, source, size, source_size, target, epochs): epochs is how often the mix repeats the document."""
+    out = _decided(docs, weights, budget, max_epochs, seed)
     source = F.when(F.col("no_source") == 0, F.col("source_key"))
-    epochs = (F.col("whole") + F.when(F.col("extra") & (F.col("whole") < max_epochs), 1).otherwise(0)).cast("long")
-    return out.select("doc_id", source.alias("source"), "size", "source_size", "target", epochs.alias("epochs"), *(["row"] if carry else []))
+    epochs = (F.col("whole") + F.col("extra").cast("int")).cast("long")
+    return out.select("doc_id", source.alias("source"), "size", "source_size", "target", epochs.alias("epochs"))
+
+
+def repeated(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float | None = None, max_epochs: float = 3.0, seed: str = SEED) -> DataFrame:
+    """The mix itself: the input's rows, all columns as they came, each as often as the mix takes it.
+
+    A source's fraction ends at one place of its seeded order, so that the decision joins by source, and texts aren't
+    shuffled; repeated rows of the last document are taken alike.
+    """
+    at = F.struct("seeded", "doc_id", "size")
+    ends = _decided(docs, weights, budget, max_epochs, seed).groupBy("no_source", "source_key")
+    ends = materialise(ends.agg(F.first("whole").alias("whole"), F.max(F.when(F.col("extra"), at)).alias("end")), "mix-ends")
+    rows = _sized(docs, seed).join(ends, ["no_source", "source_key"])
+    times = F.col("whole") + F.coalesce(at <= F.col("end"), F.lit(False)).cast("int")
+    return rows.select("row", F.explode(F.array_repeat(F.lit(0), times.cast("int")))).select("row.*")
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ from math import comb
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import materialise, table
@@ -89,16 +89,18 @@ def fingerprint(text: str | None, k: int, n_words: int = 1) -> tuple[list[int],
     return out, len(h)
 
 
-def fingerprints(docs: DataFrame, k: int, n_words: int = 1, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp array<long>, n): n shingles."""
+def fingerprints(docs: DataFrame, k: int, n_words: int = 1, more: str = "") -> DataFrame:
+    """(doc_id, fp array<long>, n) of docs (doc_id, text): n shingles. more: a further column to carry, with its type."""
+    other = more.split()[0] if more else None
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             made = [fingerprint(t, k, n_words) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": [m[0] for m in made], "n": [m[1] for m in made]})
+            out = pd.DataFrame({"doc_id": batch["doc_id"], "fp": [m[0] for m in made], "n": [m[1] for m in made]})
+            yield out.assign(**{other: batch[other]}) if other else out
 
-    src = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return src.mapInPandas(rows, "doc_id long, fp array<long>, n long")
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *([other] if other else []))
+    return src.mapInPandas(rows, "doc_id long, fp array<long>, n long" + (f", {more}" if more else ""))
 
 
 @dataclass
@@ -355,12 +357,17 @@ def keep_one(docs: DataFrame, k: int = 5, similarity: float = 0.8, key: str = "d
     Repeated rows of that key are one row. Texts without words are left as they are.
     """
     first, full = bit_bounds(similarity)
-    fps = fingerprints(docs.select(key, "text"), k, SIMILAR_WORDS, key).withColumn("node", F.xxhash64("fp"))
+    tag = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    ids = docs.select(F.col(key).cast("long").alias("doc_id"), "text", tag.alias("tag"))
+    fps = fingerprints(ids, k, SIMILAR_WORDS, more="tag long").withColumn("node", F.xxhash64("fp"))
     fps = materialise(fps, "fingerprints")
     groups = classes(fps.where("n > 0"), first, full, similarity)
-    kept = fps.join(groups, "node", "left").where("n = 0 OR component_id IS NULL OR doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    out = docs.join(kept, F.col(key).cast("long").eqNullSafe(F.col("_kept")), "left_semi")
-    return out.dropDuplicates([key, "text"])
+    kept = fps.join(groups, "node", "left").where("n = 0 OR component_id IS NULL OR doc_id = component_id")
+    kept = kept.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_kept")).distinct()
+    rows = docs.select(F.struct("*").alias("_row"), F.col(key).cast("long").alias("_key"), tag.alias("_tag"))
+    rows = rows.join(kept, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_tag") == F.col("_kept")), "left_semi")
+    nth = F.row_number().over(Window.partitionBy("_key", "_tag").orderBy(F.lit(0)))
+    return rows.withColumn("_n", nth).where("_n = 1").select("_row.*")
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
