@@ -89,7 +89,8 @@ def write_shards(docs: DataFrame, uri: str, length: int = LENGTH, per_shard: int
     texts = docs.select(F.col("text").cast("string").alias("text"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = sum(len(encode(x or "")) + 1 for encode in (tokens.encoder(path),) for b in batches for x in b["text"])
+        ids_of = tokens.encoder(path).count
+        total = sum(ids_of(x or "") + 1 for b in batches for x in b["text"])
         yield pd.DataFrame({"task": [TaskContext.get().partitionId()], "n": [-(-total // length)]})
 
     counts = sorted((r.task, r.n) for r in texts.mapInPandas(count, "task int, n long").collect())  # one number a task
