@@ -49,3 +49,13 @@ def promote(raw: DataFrame, production: DataFrame, start: int, stop: int, width:
 def refresh(production: DataFrame, raw: DataFrame, columns: list[str]) -> DataFrame:
     """Production with the raw values of the stated columns."""
     return update_from(production, raw, ["iot_id"], columns)
+
+
+def locations_between(locations: DataFrame, links: DataFrame, history: DataFrame, start: int, stop: int) -> DataFrame:
+    """The locations that a history entry of the time span links to, once for each such link.
+
+    A left join chain whose filter on the last table makes it an inner one, and written as such.
+    """
+    h = history.where(F.col("t").between(start, stop)).select(F.col("id").alias("hist_location_id"))
+    l = links.join(h, "hist_location_id").select(F.col("location_id").alias("id"))
+    return locations.join(l, "id")
