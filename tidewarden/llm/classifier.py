@@ -27,8 +27,14 @@ THRESHOLD = 0.3
 UPPER, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 
 
-def _share(part: Column, of: Column) -> Column:
-    return F.log(F.lit(1e-3) + F.coalesce(F.try_divide(part.cast("double"), of), F.lit(0.0)))
+#: A share is smoothed by so many words (or characters) of ordinary prose, so that a text of few words, which shows
+#: little, comes out near ordinary prose and not at an extreme.
+PRIOR_WORDS, PRIOR_CHARS = 30.0, 180.0
+
+
+def _share(part: Column, of: Column, usual: float, prior: float) -> Column:
+    """Log of the smoothed share; ``usual`` is that of ordinary prose."""
+    return F.log(F.lit(1e-3) + (part.cast("double") + F.lit(prior * usual)) / (of.cast("double") + F.lit(prior)))
 
 
 def statistics(docs: DataFrame, text: str = "text") -> tuple[DataFrame, list[str]]:
@@ -46,17 +52,16 @@ def statistics(docs: DataFrame, text: str = "text") -> tuple[DataFrame, list[str
     )
     n, c = F.col("_n"), F.col("_c")
     stats = [
-        F.log1p(n),
-        F.coalesce(F.try_divide(F.col("_k").cast("double"), n), F.lit(0.0)),
-        _share(F.col("_u"), n),
-        _share(F.col("_s"), n),
-        _share(F.col("_y"), c),
-        _share(F.col("_up"), c),
-        _share(F.col("_dg"), c),
-        _share(F.col("_pt"), c),
-        _share(F.col("_ex"), c),
-        _share(F.col("_nl"), n),
-        _share(F.col("_dl"), F.col("_nl") + 1),
+        (F.col("_k") + F.lit(PRIOR_WORDS * 5.0)) / (n + F.lit(PRIOR_WORDS)),
+        _share(F.col("_u"), n, 0.85, PRIOR_WORDS),
+        _share(F.col("_s"), n, 0.4, PRIOR_WORDS),
+        _share(F.col("_y"), c, 0.0005, PRIOR_CHARS),
+        _share(F.col("_up"), c, 0.02, PRIOR_CHARS),
+        _share(F.col("_dg"), c, 0.002, PRIOR_CHARS),
+        _share(F.col("_pt"), c, 0.025, PRIOR_CHARS),
+        _share(F.col("_ex"), c, 0.0005, PRIOR_CHARS),
+        _share(F.col("_nl"), n, 0.03, PRIOR_WORDS),
+        _share(F.col("_dl"), F.col("_nl") + 1, 0.02, 10.0),
     ]
     names = [f"f{i}" for i in range(len(stats))]
     return raw.select(*keep, *[s.alias(f) for s, f in zip(stats, names)]), names

@@ -4,8 +4,8 @@ A text is reduced to a canonical form (case, punctuation, blanks, copyright line
 matter) and its SHA-256 is hash-joined with the digests of known licence texts. Entire texts are looked up, and in the
 same join every line as a text of its own, since corpora mostly carry licences as one-line notices.
 
-Scale: one pass; the known table has a fixed size (the rule below makes fewer than 2,000 rows of 80 bytes), so it alone
-is broadcast. Lines are partially aggregated to one row a document before the shuffle; nothing is gathered by source or
+Scale: one pass; the known table has a stated number of rows (the rule below makes about 5,000 of 100 bytes) and is
+broadcast only up to MAX_KNOWN. Lines are partially aggregated to one row a document before the shuffle; nothing is gathered by source or
 by licence.
 
 Defined results: null, empty and blank texts match nothing and have the digest of the empty form; documents repeated in
@@ -58,7 +58,8 @@ SPELLINGS = (("licenc", "licens"), ("isation", "ization"), ("favour", "favor"),
 #: A copyright line goes as a whole. Fixed pattern, also valid in RE2 for the SQL form.
 COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(copyright[ \t]|copyright$|\(c\)|©|all rights reserved)[^\n]*$"
 PUNCTUATION = r"[^\p{L}\p{N}]+"
-MAX_KNOWN = 2000
+#: A known table of up to so many rows of about 100 bytes is broadcast; the rule above makes about 5,000.
+MAX_KNOWN = 100_000
 
 
 def canonical(text: Column) -> Column:
@@ -89,7 +90,7 @@ def known_digests(spark: SparkSession, texts: list[tuple[str, str, str]] | None
 def scan(docs: DataFrame, known: DataFrame, known_rows: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: doc_id, digest of the whole text, its licence or null, and the licences of its lines.
 
-    ``known_rows`` bounds the known table; beyond MAX_KNOWN * 50 rows it is not broadcast.
+    ``known_rows`` bounds the known table; beyond MAX_KNOWN rows it is not broadcast.
     """
     t = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(t, "\n"), lambda x: F.btrim(x) != "")
@@ -98,7 +99,7 @@ def scan(docs: DataFrame, known: DataFrame, known_rows: int, key: str = "doc_id"
     parts = F.when(F.instr(t, "\n") > 0, F.transform(lines, lambda x: F.struct(F.lit(False).alias("whole"), F.sha2(canonical(x), 256).alias("digest"))))
     units = docs.select(F.col(key).alias("doc_id"), F.sha2(t, 256).alias("_row"), F.concat(F.array(whole), F.coalesce(parts, F.array().cast("array<struct<whole:boolean,digest:string>>"))).alias("_u"))
     units = units.select("doc_id", "_row", F.explode("_u").alias("u")).select("doc_id", "_row", "u.*")
-    small = F.broadcast(known) if known_rows <= MAX_KNOWN * 50 else known
+    small = F.broadcast(known) if known_rows <= MAX_KNOWN else known
     hit = units.join(small, "digest", "left")
     out = hit.groupBy("doc_id", "_row").agg(
         F.max(F.when(F.col("whole"), F.col("digest"))).alias("text_digest"),

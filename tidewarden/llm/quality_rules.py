@@ -23,7 +23,7 @@ RULES: dict[str, str] = {
     "too_few_words": "n_words < 20",
     "too_repetitive": "100 * n_repeat_words > 30 * n_words",
     "symbol_heavy": "100 * n_symbols > 30 * n_words",
-    "duplicate_lines": "100 * n_dup_lines > 30 * n_lines",
+    "duplicate_lines": "n_dup_lines > 3 AND 100 * n_dup_lines > 30 * n_lines",
     "odd_word_length": "word_chars < 2 * n_words OR word_chars > 15 * n_words",
     "shouting": "100 * n_bangs > 40 * n_words",
 }
@@ -141,7 +141,7 @@ m AS (
   FROM d LEFT JOIN rep USING (rid) LEFT JOIN l USING (rid)),
 f AS (
   SELECT *, CAST((n_words < 20)::INT + 2 * (100 * n_repeat_words > 30 * n_words)::INT + 4 * (100 * n_symbols > 30 * n_words)::INT
-    + 8 * (100 * n_dup_lines > 30 * n_lines)::INT + 16 * (word_chars < 2 * n_words OR word_chars > 15 * n_words)::INT
+    + 8 * (n_dup_lines > 3 AND 100 * n_dup_lines > 30 * n_lines)::INT + 16 * (word_chars < 2 * n_words OR word_chars > 15 * n_words)::INT
     + 32 * (100 * n_bangs > 40 * n_words)::INT AS INT) AS failures FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failures & 3) != 0 AS base_failed, failures = 0 AS kept, failures
 FROM f
