@@ -37,16 +37,18 @@ def nearest_in_time(left: DataFrame, right: DataFrame, keys: list[str], toleranc
 def in_polygons(points: DataFrame, polygons: DataFrame, cell: float = 1.0, name: str = "region") -> DataFrame:
     """Each point with the smallest name of the polygons (name, edges) that hold it, or null.
 
-    Polygons are filed under the grid cells of their bounding boxes; a point meets those of its own cell only.
+    Polygons are filed under the grid cells of their bounding boxes, one row a cell; a point meets those of its own cell
+    in one equality join that neither multiplies points nor groups them again.
     """
     box = [f(F.col("edges")[c]) for c in ("x1", "y1") for f in (F.array_min, F.array_max)]
     cells = [F.floor(b / cell) for b in box]
-    filed = polygons.select(F.col(name).alias("_name"), "edges", F.explode(F.sequence(cells[0], cells[1])).alias("_i"), cells[2].alias("_j0"), cells[3].alias("_j1"))
-    filed = filed.select("_name", "edges", "_i", F.explode(F.sequence("_j0", "_j1")).alias("_j"))
-    p = points.withColumn("_i", F.floor(F.col("longitude") / cell)).withColumn("_j", F.floor(F.col("latitude") / cell)).withColumn("_row", F.monotonically_increasing_id())
-    hit = p.join(sized(filed), ["_i", "_j"], "left")
-    found = F.min(F.when(inside(F.col("longitude"), F.col("latitude"), F.col("edges")), F.col("_name"))).alias(name)
-    return hit.groupBy(*points.columns, "_row").agg(found).drop("_row")
+    filed = polygons.select(F.col(name).alias("name"), "edges", F.explode(F.sequence(cells[0], cells[1])).alias("_i"), cells[2].alias("_j0"), cells[3].alias("_j1"))
+    filed = filed.select("name", "edges", "_i", F.explode(F.sequence("_j0", "_j1")).alias("_j"))
+    filed = filed.groupBy("_i", "_j").agg(F.collect_list(F.struct("name", "edges")).alias("_near"))
+    p = points.withColumn("_i", F.floor(F.col("longitude") / cell)).withColumn("_j", F.floor(F.col("latitude") / cell))
+    hold = F.filter("_near", lambda x: inside(F.col("longitude"), F.col("latitude"), x["edges"]))
+    found = F.array_min(F.transform(hold, lambda x: x["name"]))
+    return p.join(sized(filed), ["_i", "_j"], "left").withColumn(name, found).drop("_i", "_j", "_near")
 
 
 def on_grid(points: DataFrame, grid: DataFrame, step: float, value: str = "elevation") -> DataFrame:

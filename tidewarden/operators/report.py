@@ -71,3 +71,10 @@ def single_value(column: str, what: str = "value") -> Column:
 def nearest_index(df: DataFrame, index: str, value: str, target: float) -> DataFrame:
     """One row: the index whose value is nearest to the target, the first of equals."""
     return df.agg(F.min_by(index, F.struct(F.abs(F.col(value) - F.lit(target)), F.col(index))).alias("idx"))
+
+
+def from_responses(responses: DataFrame, ids: list[int]) -> DataFrame:
+    """The report of nested responses."""
+    from ..sources.entities import flatten
+
+    return report(flatten(responses), ids)

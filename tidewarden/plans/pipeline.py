@@ -6,6 +6,8 @@ partitioned by series or by thing, bounds are a small joined table, and nothing
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,17 @@ from ..operators import checks, dependent, joins
 from .settings import Settings
 
 
+@dataclass
+class Places:
+    """Reference tables: regions and land (region, edges), elevations (cell_i, cell_j, elevation) of cells of grid_step."""
+
+    regions: DataFrame | None = None
+    land: DataFrame | None = None
+    grid: DataFrame | None = None
+    grid_step: float = 0.25
+    max_elevation: float = 0.0
+
+
 def bounds_table(df: DataFrame, settings: Settings, key: str) -> DataFrame:
     rows = [(i, *[float(x) if x is not None else None for c in ("range", "gradient", "zscore") for x in b.get(c, (None, None))]) for i, b in settings.bounds.items()]
     cols = [f"qc_{c}_{s} double" for c in ("range", "gradient", "zscore") for s in ("min", "max")]
@@ -37,16 +50,28 @@ def stabilised(df: DataFrame, settings: Settings, key: str, within: list[str]) -
     return df
 
 
-def run(df: DataFrame, settings: Settings, key: str = "datastream_id", series: list[str] | None = None, thing: str = "thing_id", within: list[str] | None = None, apply_kinematics: bool = False, gradient_on: str = "gradient") -> DataFrame:
+def run(df: DataFrame, settings: Settings, key: str = "datastream_id", series: list[str] | None = None, thing: str = "thing_id", within: list[str] | None = None, apply_kinematics: bool = False, gradient_on: str = "gradient", places: Places | None = None) -> DataFrame:
     """df: observations (see OBSERVATION). key: what bounds and rules are stated for; series: keys of one time series
-    (default: key); within: keys that rules match inside of, such as the thing."""
+    (default: key); within: keys that rules match inside of, such as the thing; places: reference tables of place checks."""
+    places = places or Places()
     series, within = series or [key], within or []
     if settings.reset_flags:
         df = df.withColumns({"qc_flag": F.lit(flags.NO_QC), "feature_qc_flag": F.lit(flags.NO_QC)})
     df = stabilised(df, settings, key, within)
+    if places.regions is not None:
+        df = joins.in_polygons(df.drop("region"), places.regions)
     if "region" in df.columns:
         df = checks.Check("Region nan", checks.region_missing, flags.PROBABLY_GOOD).execute(df)
         df = checks.Check("Region mainland", checks.region_on_land).execute(df)
+    if places.land is not None:
+        df = joins.in_polygons(df, places.land.withColumnRenamed("region", "land"), name="land")
+        merge = flags.take_new if settings.take_new_feature_flags else flags.merge
+        df = checks.Check("Land", lambda: F.col("land").isNotNull(), merge=merge).execute(df, "feature_qc_flag")
+        df = df.withColumn("qc_flag", flags.merge("qc_flag", "feature_qc_flag"))
+    if places.grid is not None:
+        on_land = F.col("land").isNotNull() if "land" in df.columns else F.lit(True)  # with polygons, depth judges the land rows
+        df = joins.on_grid(df, places.grid, places.grid_step)
+        df = checks.Check("Depth", lambda: F.when(on_land, F.col("elevation") > places.max_elevation)).execute(df)
     if settings.max_speed and settings.location_window:
         df = checks.with_spatial_outlier(df, settings.max_speed, settings.location_window, thing)
         df = checks.Check("Spatial outlier", lambda: F.col("spatial_outlier"), on_nan=flags.PROBABLY_GOOD).execute(df, "feature_qc_flag")
