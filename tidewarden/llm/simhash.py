@@ -36,9 +36,10 @@ from .components import components
 
 SEED = 42
 BITS = 64
-FILE_ROWS = 4096
-#: Costs of a filed row and of a comparison, in microseconds, as measured on one core.
-ROW_COST, PAIR_COST = 15.0, 0.003
+FILE_ROWS = 32_768
+#: Costs of a filed row and of a comparison, in microseconds, as measured on one core; and how much more a comparison
+#: costs in one file of all fingerprints, which few tasks share.
+ROW_COST, PAIR_COST, ALONE = 5.0, 0.005, 8.0
 LANES = np.uint64(0x0101010101010101)
 
 
@@ -55,17 +56,6 @@ def shingle_hashes(text: str | None, k: int) -> np.ndarray:
     return np.fromiter((h(joined[a:b], SEED) for a, b in zip(start[:n].tolist(), ends)), np.uint64, n)
 
 
-def _ones(h: np.ndarray) -> np.ndarray:
-    """How many of the hashes have each bit set."""
-    counts = np.zeros((8, 8), np.int64)
-    pad = -len(h) % 255
-    rows = np.concatenate([h, np.zeros(pad, np.uint64)]).reshape(-1, 255)
-    for b in range(8):
-        lanes = ((rows >> np.uint64(b)) & LANES).sum(axis=1, dtype=np.uint64)  # 255 lanes fit a byte
-        counts[:, b] = np.ascontiguousarray(lanes).view(np.uint8).reshape(-1, 8).sum(axis=0, dtype=np.int64)
-    return counts.ravel()
-
-
 def _spread(h: np.ndarray, j: int) -> np.ndarray:
     """An independent 64-bit value of each hash for the j-th further word."""
     if not j:
@@ -76,31 +66,66 @@ def _spread(h: np.ndarray, j: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def fingerprint(text: str | None, k: int, n_words: int = 1) -> tuple[list[int], int]:
-    """n_words 64-bit words as signed integers, and the number of shingles. A bit is set in over half the hashes."""
-    h = shingle_hashes(text, k)
-    out = []
+def majorities(hashes: list[np.ndarray], n_words: int = 1) -> np.ndarray:
+    """(texts, n_words) of unsigned words: a bit is set in over half of a text's hashes. Texts without hashes are zero.
+
+    Eight bits of a hash at a time are spread over the bytes of a word; up to 255 of them add up without a carry.
+    """
+    out = np.zeros((len(hashes), n_words), np.uint64)
+    size = np.fromiter(map(len, hashes), np.int64, len(hashes))
+    full = np.nonzero(size)[0]
+    if not len(full):
+        return out
+    size, h = size[full], np.concatenate([hashes[i] for i in full])
+    parts = -(-size // 255)
+    first = np.cumsum(parts) - parts
+    edges = np.repeat(np.cumsum(size) - size, parts) + 255 * (np.arange(parts.sum()) - np.repeat(first, parts))
     for j in range(n_words):
-        ones = np.zeros(BITS, np.int64)
-        for a in range(0, len(h), 1 << 18):
-            ones += _ones(_spread(h[a : a + (1 << 18)], j))
-        word = np.packbits(2 * ones > len(h), bitorder="little").view(np.int64)[0]
-        out.append(int(word))
-    return out, len(h)
+        x = _spread(h, j)
+        ones = np.empty((len(full), 8, 8), np.int64)
+        for b in range(8):
+            lanes = np.add.reduceat((x >> np.uint64(b)) & LANES, edges)
+            ones[:, :, b] = np.add.reduceat(lanes.view(np.uint8).reshape(-1, 8).astype(np.int64), first, axis=0)
+        bits = 2 * ones.reshape(len(full), BITS) > size[:, None]
+        out[full, j] = np.packbits(bits, axis=1, bitorder="little").view(np.uint64).ravel()
+    return out
+
+
+#: Shingles that are counted at once.
+AT_ONCE = 1 << 18
 
 
-def fingerprints(docs: DataFrame, k: int, n_words: int = 1, more: str = "") -> DataFrame:
-    """(doc_id, fp array<long>, n) of docs (doc_id, text): n shingles. more: a further column to carry, with its type."""
+def fingerprints(docs: DataFrame, k: int, n_words: int = 1, more: str = "", bands: tuple[int, int] = (0, 0), kept: int | None = None) -> DataFrame:
+    """(doc_id, fp array<long>, n) of docs (doc_id, text): n shingles. more: a further column to carry, with its type.
+
+    bands: (m, w) adds ``bands``, m numbers of w bits each; ``fp`` then holds the first ``kept`` words only.
+    """
     other = more.split()[0] if more else None
+    m, w = bands
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            made = [fingerprint(t, k, n_words) for t in batch["text"]]
-            out = pd.DataFrame({"doc_id": batch["doc_id"], "fp": [m[0] for m in made], "n": [m[1] for m in made]})
-            yield out.assign(**{other: batch[other]}) if other else out
+            made, held, n = [], [], 0
+            for i, t in enumerate(batch["text"]):
+                held.append(shingle_hashes(t, k))
+                n += len(held[-1])
+                if n >= AT_ONCE or i + 1 == len(batch):
+                    made.append((majorities(held, n_words), [len(h) for h in held]))
+                    held, n = [], 0
+            if not made:
+                continue
+            words = np.concatenate([x for x, _ in made])
+            out = pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "fp": list(words[:, :kept].view(np.int64)), "n": [c for _, y in made for c in y]})
+            if m:
+                bits = np.unpackbits(np.ascontiguousarray(words).view(np.uint8), axis=1, bitorder="little")[:, : m * w]
+                out["bands"] = list(bits.reshape(len(words), m, w) @ (1 << np.arange(w, dtype=np.int64)))
+            if other:
+                out[other] = batch[other].to_numpy()
+            yield out
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *([other] if other else []))
-    return src.mapInPandas(rows, "doc_id long, fp array<long>, n long" + (f", {more}" if more else ""))
+    schema = "doc_id long, fp array<long>, n long" + (", bands array<long>" if m else "") + (f", {more}" if more else "")
+    return src.mapInPandas(rows, schema)
 
 
 @dataclass
@@ -173,14 +198,14 @@ def distances(bits: list[int], ones: np.ndarray, joint: np.ndarray, n: float, mo
     return np.einsum("x,y,xyd->d", root, root, poly[bits[0]])
 
 
-def allocate(ones: np.ndarray, joint: np.ndarray, n: int, limit: int, share: float = 1.0) -> list[Part]:
-    """The partitions and thresholds of least estimated cost. share: of all pairs that can meet at all."""
-    pairs = n * n / 2 * share
+def allocate(ones: np.ndarray, joint: np.ndarray, n: int, limit: int) -> list[Part]:
+    """The partitions and thresholds of least estimated cost."""
+    pairs = n * n / 2
     cov = joint / max(n, 1) - np.outer(ones, ones) / max(n, 1) ** 2
     sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
     corr = np.abs(cov / np.outer(sd, sd))
     np.fill_diagonal(corr, 0)
-    best, plan = pairs * PAIR_COST + n * (1 + n * share / FILE_ROWS) * ROW_COST, [Part(list(range(BITS)), BITS)]
+    best, plan = pairs * PAIR_COST * ALONE + n * (1 + n / FILE_ROWS) * ROW_COST, [Part(list(range(BITS)), BITS)]
     for m in range(1, limit + 2):
         groups, total = grouped_bits(corr, m), limit - m + 1
         costs = []
@@ -247,69 +272,108 @@ def _forest(fp: np.ndarray, limit: int, full: int) -> tuple[np.ndarray, np.ndarr
     return (np.concatenate(a), np.concatenate(b)) if a else (none, none)
 
 
+def _pairs(group: np.ndarray, fp: np.ndarray, limit: int, full: int, widest: int) -> tuple[np.ndarray, np.ndarray]:
+    """All links (row, row) inside groups of at most ``widest`` adjacent rows."""
+    a, b = [], []
+    for d in range(1, widest):
+        i = np.nonzero(group[d:] == group[:-d])[0]
+        if not len(i):
+            break
+        i = i[np.bitwise_count(fp[i, 0] ^ fp[i + d, 0]) <= limit]
+        if fp.shape[1] > 1:
+            i = i[np.bitwise_count(fp[i] ^ fp[i + d]).sum(axis=1) <= full]
+        a.append(i)
+        b.append(i + d)
+    none = np.zeros(0, np.int64)
+    return (np.concatenate(a), np.concatenate(b)) if a else (none, none)
+
+
+#: Files of up to so many rows are compared all at once, larger ones breadth-first.
+SMALL = 16
+
+
 def _links(limit: int, full: int, keys: list[str], file_rows: int = FILE_ROWS):
     """A mapInPandas function over rows sorted by keys: links, and a mark (kind 1) for each file above file_rows."""
+    cut = len(keys) == 2  # files of blocks are no larger than they were made
+
+    def closed(ks: np.ndarray, ids: np.ndarray, fp: np.ndarray) -> list[pd.DataFrame]:
+        """Links of whole files."""
+        new = np.ones(len(ks), bool)
+        new[1:] = (ks[1:] != ks[:-1]).any(axis=1)
+        start, group = np.nonzero(new)[0], np.cumsum(new) - 1
+        size = np.diff(np.append(start, len(ks)))
+        small = (size > 1) & (size <= SMALL)
+        rows = np.nonzero(small[group])[0]
+        i, j = _pairs(group[rows], fp[rows], limit, full, SMALL)
+        out = [pd.DataFrame({"kind": 0, "a": ids[rows[i]], "b": ids[rows[j]]})]
+        for g in np.nonzero(size > SMALL)[0]:
+            s, e = start[g], start[g] + size[g]
+            if cut and size[g] > file_rows:
+                out.append(pd.DataFrame({"kind": [1], "a": [ks[s, 0]], "b": [ks[s, 1]]}))
+                continue
+            i, j = _forest(fp[s:e], limit, full)
+            out.append(pd.DataFrame({"kind": 0, "a": ids[s + i], "b": ids[s + j]}))
+        return [x for x in out if len(x)]
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, nodes, fps, n, hot = None, [], [], 0, False
-
-        def close() -> pd.DataFrame | None:
-            if hot:
-                return pd.DataFrame({"kind": [1], "a": [key[0]], "b": [key[1]]})
-            if n < 2:
-                return None
-            ids, fp = np.concatenate(nodes), np.concatenate(fps)
-            i, j = _forest(fp, limit, full)
-            return pd.DataFrame({"kind": 0, "a": ids[i], "b": ids[j]}) if len(i) else None
-
+        held: list[tuple] = []  # parts of the file that is open
+        n, hot = 0, None
         for batch in batches:
             if not len(batch):
                 continue
             ks = np.stack([batch[c].to_numpy(np.int64) for c in keys], axis=1)
             ids = batch["node"].to_numpy(np.int64)
             fp = np.stack(batch["fp"].to_numpy()).astype(np.int64).view(np.uint64)
-            edge = np.nonzero((ks[1:] != ks[:-1]).any(axis=1))[0] + 1
-            out = []
-            for s, e in zip(np.concatenate([[0], edge]), np.concatenate([edge, [len(ks)]])):
-                this = tuple(ks[s].tolist())
-                if this != key:
-                    if (made := close()) is not None:
-                        out.append(made)
-                    key, nodes, fps, n, hot = this, [], [], 0, False
-                n += e - s
-                if len(keys) == 2 and n > file_rows:
-                    nodes, fps, hot = [], [], True
-                if not hot:
-                    nodes.append(ids[s:e])
-                    fps.append(fp[s:e])
-            if out:
-                yield pd.concat(out)
-        if (made := close()) is not None:
-            yield made
+            last = int(np.nonzero((ks != ks[-1]).any(axis=1))[0].max(initial=-1)) + 1  # where the batch's last file begins
+            for a, b, ends in ((0, last, True), (last, len(ks), False)):
+                if a == b:
+                    continue
+                if held and (ks[a] != held[-1][0][-1]).any() or hot is not None and (ks[a] != hot).any():
+                    yield from closed(*map(np.concatenate, zip(*held))) if held else []
+                    held, n, hot = [], 0, None
+                if hot is not None:
+                    if not ends:
+                        continue
+                    keep = (ks[a:b] != hot).any(axis=1)
+                    a, hot = a + int(np.argmax(keep)) if keep.any() else b, None
+                    if a == b:
+                        continue
+                held.append((ks[a:b], ids[a:b], fp[a:b]))
+                n += b - a
+                if ends:
+                    yield from closed(*map(np.concatenate, zip(*held)))
+                    held, n = [], 0
+                elif cut and n > 2 * file_rows and (held[0][0][0] == held[-1][0][-1]).all():
+                    hot = held[-1][0][-1]  # far too many rows of one file to hold: it is marked now, and the rest passed over
+                    yield pd.DataFrame({"kind": [1], "a": [hot[0]], "b": [hot[1]]})
+                    held, n = [], 0
+        if held:
+            yield from closed(*map(np.concatenate, zip(*held)))
 
     return search
 
 
-def links(nodes: DataFrame, limit: int, full: int = 0, size_ratio: float = 0.0, file_rows: int = FILE_ROWS) -> DataFrame:
-    """Links (a, b) that span the components of nodes (node, fp, n) within ``limit`` bits.
-
-    full: bound over all words of longer fingerprints. size_ratio: below 1, fingerprints whose shingle counts are further
-    apart than this ratio can't be similar enough and need not meet; they are filed by size class and the next one.
-    """
+def links(nodes: DataFrame, limit: int, file_rows: int = FILE_ROWS) -> DataFrame:
+    """Links (a, b) that span the components of nodes (node, fp) within ``limit`` bits of one word."""
     ones, joint, n = bit_counts(nodes)
-    plan = allocate(ones, joint, n, limit, 0.25 if size_ratio else 1.0)
-    masks = [m for p in plan for m in p.masks()]
+    masks = [m for p in allocate(ones, joint, n, limit) for m in p.masks()]
     signed = [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
-    filed = nodes.select("node", "fp", "n", F.posexplode(F.array(*[F.lit(m).cast("long") for m in signed])).alias("mask_id", "mask"))
-    filed = filed.withColumn("part", F.col("fp")[0].bitwiseAND(F.col("mask")))
-    if size_ratio:
-        size_class = F.floor(F.log(F.greatest(F.col("n"), F.lit(1)).cast("double")) / abs(float(np.log(size_ratio))))
-        filed = filed.withColumn("_c", F.explode(F.array(size_class, size_class + 1)))
-        filed = filed.withColumn("part", F.xxhash64("part", "_c"))
-    filed = filed.select("node", "fp", F.col("mask_id").cast("long").alias("mask_id"), "part")
+    filed = nodes.select("node", "fp", F.posexplode(F.array(*[F.lit(m).cast("long") for m in signed])).alias("mask_id", "mask"))
+    filed = filed.select("node", "fp", F.col("mask_id").cast("long").alias("mask_id"), F.col("fp")[0].bitwiseAND(F.col("mask")).alias("part"))
+    return _searched(filed, limit, BITS, file_rows)
+
+
+def similar_links(nodes: DataFrame, limit: int, full: int, file_rows: int = FILE_ROWS) -> DataFrame:
+    """Links of nodes (node, fp, bands) that agree in a band and lie within the bounds in the first and in all words of fp."""
+    filed = nodes.select("node", "fp", F.posexplode("bands").alias("mask_id", "part")).withColumn("mask_id", F.col("mask_id").cast("long"))
+    return _searched(filed, limit, full, file_rows)
+
+
+def _searched(filed: DataFrame, limit: int, full: int, file_rows: int) -> DataFrame:
+    """Links inside the files (mask_id, part) of filed (node, fp, mask_id, part)."""
     near = filed.repartition("mask_id", "part").sortWithinPartitions("mask_id", "part").mapInPandas(_links(limit, full, ["mask_id", "part"], file_rows), "kind int, a long, b long")
     near = materialise(near, "near")
-    out, hot = near.where("kind = 0").select("a", "b"), near.where("kind = 1").select(F.col("a").alias("mask_id"), F.col("b").alias("part"))
+    out, hot = near.where("kind = 0").select("a", "b"), near.where("kind = 1").select(F.col("a").alias("mask_id"), F.col("b").alias("part")).distinct()
     if not hot.isEmpty():
         in_hot = filed.join(hot, ["mask_id", "part"])
         # Blocks of half a file, as many as the hot file needs; each pair of blocks is one group.
@@ -318,16 +382,17 @@ def links(nodes: DataFrame, limit: int, full: int = 0, size_ratio: float = 0.0,
         cut = cut.select("node", "fp", "mask_id", "part", "i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
         cut = cut.select("node", "fp", "mask_id", "part", F.least("i", "j").cast("long").alias("lo"), F.greatest("i", "j").cast("long").alias("hi"))
         keys = ["mask_id", "part", "lo", "hi"]
-        more = cut.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(_links(limit, full, keys), "kind int, a long, b long")
+        more = cut.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(_links(limit, full, keys, file_rows), "kind int, a long, b long")
         out = out.union(materialise(more.select("a", "b"), "near"))
     return out
 
 
-def classes(fps: DataFrame, limit: int, full: int = 0, size_ratio: float = 0.0) -> DataFrame:
-    """(node, component_id) for each distinct fingerprint of fps (doc_id, fp, n, node)."""
-    per = fps.groupBy("node").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.min("doc_id").alias("low"))
+def classes(fps: DataFrame, find) -> DataFrame:
+    """(node, component_id) for each distinct fingerprint of fps (doc_id, node, ...); find: nodes -> links."""
+    other = [c for c in ("fp", "bands") if c in fps.columns]
+    per = fps.groupBy("node").agg(*[F.first(c).alias(c) for c in other], F.min("doc_id").alias("low"))
     per = materialise(per, "nodes")
-    roots = components(links(per.select("node", "fp", "n"), limit, full, size_ratio))
+    roots = components(find(per.select("node", *other)))
     joined = per.select("node", "low").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lows = joined.groupBy("root").agg(F.min("low").alias("component_id"))
     return joined.join(lows, "root").select("node", "component_id")
@@ -336,32 +401,43 @@ def classes(fps: DataFrame, limit: int, full: int = 0, size_ratio: float = 0.0)
 def near_duplicates(docs: DataFrame, k: int = 3, limit: int = 3) -> DataFrame:
     """(doc_id, fingerprint, component_id), one row per input row: links at ``limit`` bits of a 64-bit fingerprint."""
     fps = materialise(fingerprints(docs, k).withColumn("node", F.col("fp")[0]), "fingerprints")
-    out = fps.join(classes(fps, limit), "node")
+    out = fps.join(classes(fps, lambda nodes: links(nodes, limit)), "node")
     return out.select("doc_id", F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Four words a fingerprint for the similarity form: at a Jaccard similarity s of the shingles, two fingerprints differ
-#: in acos(2s / (1 + s)) / pi of the bits; the bound on all 256 bits is that of s, with one standard deviation on top.
-SIMILAR_WORDS = 4
+#: The similarity form. At a Jaccard similarity s of the shingles, two fingerprints differ in acos(2s / (1 + s)) / pi of
+#: their bits. Candidates agree in one of m bands of w bits: thresholds of zero in m partitions, which the pigeonhole makes
+#: certain up to m - 1 differing bits, and which at s still find all but MISSED of the pairs. w follows from the number
+#: of documents, so that unrelated ones meet in files of FILE_MEAN; m follows from w. Candidates are verified on 256 bits.
+VERIFIED_WORDS, FILE_MEAN, MISSED = 4, 8, 0.02
 
 
-def bit_bounds(similarity: float, n_words: int = SIMILAR_WORDS) -> tuple[int, int]:
+def bit_bounds(similarity: float, n_words: int = VERIFIED_WORDS) -> tuple[int, int]:
+    """Bounds on the first word and on all: the mean at the similarity, and 2.5 and 1 standard deviations on top."""
     p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     sd = lambda n: (n * p * (1 - p)) ** 0.5
     return int(BITS * p + 2.5 * sd(BITS)), int(BITS * n_words * p + sd(BITS * n_words))
 
 
+def band_plan(n: int, similarity: float) -> tuple[int, int]:
+    """(m, w) for n documents."""
+    w = max(12, int(np.ceil(np.log2(max(n, 1) / FILE_MEAN))))
+    agree = (1 - float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)) ** w
+    return int(np.ceil(np.log(MISSED) / np.log1p(-agree))), w
+
+
 def keep_one(docs: DataFrame, k: int = 5, similarity: float = 0.8, key: str = "doc_id") -> DataFrame:
     """The input rows with one row of each group of near copies: the one of smallest key (all columns as they came).
 
     Repeated rows of that key are one row. Texts without words are left as they are.
     """
     first, full = bit_bounds(similarity)
+    m, w = band_plan(docs.count(), similarity)
     tag = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
     ids = docs.select(F.col(key).cast("long").alias("doc_id"), "text", tag.alias("tag"))
-    fps = fingerprints(ids, k, SIMILAR_WORDS, more="tag long").withColumn("node", F.xxhash64("fp"))
-    fps = materialise(fps, "fingerprints")
-    groups = classes(fps.where("n > 0"), first, full, similarity)
+    fps = fingerprints(ids, k, max(VERIFIED_WORDS, -(-m * w // BITS)), "tag long", (m, w), VERIFIED_WORDS)
+    fps = materialise(fps.withColumn("node", F.xxhash64("fp", "bands")), "fingerprints")
+    groups = classes(fps.where("n > 0"), lambda nodes: similar_links(nodes, first, full))
     kept = fps.join(groups, "node", "left").where("n = 0 OR component_id IS NULL OR doc_id = component_id")
     kept = kept.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_kept")).distinct()
     rows = docs.select(F.struct("*").alias("_row"), F.col(key).cast("long").alias("_key"), tag.alias("_tag"))
