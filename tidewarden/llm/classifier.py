@@ -143,11 +143,18 @@ def classify(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, threshold:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The input rows whose text scores at least ``threshold``; all columns as they came."""
-    stats, names = statistics(docs.select("doc_id", "text"))
-    model = fit(materialise(stats.join(clean_labels(labels), "doc_id"), "quality-known"), names)
-    scored, _ = statistics(docs.select(F.struct("*").alias("_row"), F.col("text").alias("text")))
-    return scored.where(model.score() >= threshold).select("_row.*")
+    """The input rows whose text scores at least ``threshold``; all columns as they came.
+
+    Texts are measured once; the rows to keep are found by key and text hash.
+    """
+    tag = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    stats, names = statistics(docs.select("doc_id", "text", tag.alias("_tag")))
+    stats = materialise(stats, "quality-stats")
+    model = fit(stats.join(clean_labels(labels), "doc_id"), names)
+    good = stats.where(model.score() >= threshold).select(F.col("doc_id").alias("_id"), F.col("_tag").alias("_kept")).distinct()
+    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_key"), tag.alias("_tag"))
+    rows = rows.join(good, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_tag") == F.col("_kept")), "left_semi")
+    return rows.select("_row.*")
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
