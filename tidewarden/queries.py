@@ -140,6 +140,13 @@ def gradient_flags(spark, sf_dir):
     return checks.Check("Gradient", lambda: checks.out_of_range("gradient", F.lit(-0.0005), F.lit(0.0005)), on_false=flags.PROBABLY_GOOD).execute(df).select("iot_id", "qc_flag")
 
 
+@query(" SELECT iot_id, CASE WHEN result < 2.0 OR result > 80.0 THEN 4 ELSE 2 END AS qc_flag FROM obs")
+def gradient_limits_on_result(spark, sf_dir):
+    """The gradient's limits applied to the result itself, which the whole plan does with ``gradient_on="result"``."""
+    df = from_events(spark, sf_dir)
+    return pipeline.run(df, Settings(defaults={"gradient": (2.0, 80.0)}), "stream", ["datastream_id"], gradient_on="result").select("iot_id", "qc_flag")
+
+
 FRAME = f"(PARTITION BY datastream_id ORDER BY t RANGE BETWEEN {3 * DAY - 1} PRECEDING AND CURRENT ROW)"
 
 
@@ -355,6 +362,19 @@ def coords_first(spark, sf_dir):
     return report.coordinates(_minutes(spark, sf_dir))
 
 
+@query(
+    BEST
+    + """, p AS (SELECT t_round, max(CASE WHEN stream = 1 THEN result END) AS "1__result", CAST(max(CASE WHEN stream = 1 THEN q END) AS DOUBLE) AS "1__flag",
+  max(CASE WHEN stream = 2 THEN result END) AS "2__result", CAST(max(CASE WHEN stream = 2 THEN q END) AS DOUBLE) AS "2__flag" FROM b WHERE rn = 1 GROUP BY 1),
+c AS (SELECT t_round, arg_min(longitude, (dt, iot_id)) AS longitude, arg_min(latitude, (dt, iot_id)) AS latitude FROM d GROUP BY 1)
+SELECT p.*, longitude, latitude FROM p LEFT JOIN c USING (t_round) WHERE coalesce("1__result", "2__result") IS NOT NULL"""
+)
+def wide_report(spark, sf_dir):
+    df = _minutes(spark, sf_dir)
+    wide = report.report(df.withColumn("datastream_id", F.col("stream")), [1, 2])
+    return wide.withColumns({c: F.col(c).cast("double") for c in report.flag_columns(wide)})
+
+
 @query(BEST + " SELECT t_round, CAST(stream AS BIGINT) AS datastream_id, result FROM b WHERE rn = 1 AND result IS NOT NULL")
 def report_long(spark, sf_dir):
     ids = list(STREAMS.values())
@@ -411,6 +431,26 @@ def semi_join_features(spark, sf_dir):
     return transfer.referred(obs.select("feature_id").distinct(), obs.where("result > 150"))
 
 
+@query(
+    f""", l AS (SELECT DISTINCT feature_id AS id, 'place ' || feature_id AS name FROM obs)
+SELECT l.id, l.name FROM l LEFT JOIN obs link ON link.feature_id = l.id LEFT JOIN obs hist ON hist.iot_id = link.iot_id WHERE hist.t BETWEEN {START + DAY} AND {START + 2 * DAY}"""
+)
+def linked_locations(spark, sf_dir):
+    obs = from_events(spark, sf_dir)
+    places = obs.select(F.col("feature_id").alias("id")).distinct().withColumn("name", F.format_string("place %d", "id"))
+    links = obs.select(F.col("feature_id").alias("location_id"), F.col("iot_id").alias("hist_location_id"))
+    return transfer.locations_between(places, links, obs.select(F.col("iot_id").alias("id"), "t"), START + DAY, START + 2 * DAY)
+
+
+@query(" SELECT iot_id, CASE k % 4 WHEN 0 THEN CAST(iot_id AS VARCHAR) WHEN 1 THEN CASE WHEN result > 50 THEN 'true' ELSE 'false' END WHEN 2 THEN '{\"k\": ' || k || '}' ELSE observation_type END AS result FROM obs")
+def typed_results(spark, sf_dir):
+    df = from_events(spark, sf_dir).withColumns({
+        "result_type": F.col("k") % 4, "result_number": F.col("iot_id"), "result_boolean": F.col("result") > 50,
+        "result_json": F.format_string('{"k": %d}', "k"), "result_string": F.col("observation_type"),
+    })
+    return df.select("iot_id", transfer.typed_result().alias("result"))
+
+
 # filters, sets, aggregates
 
 
