@@ -12,6 +12,7 @@ STAMP = r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}"
 WRITTEN = rf"^\[?({STAMP})\]?.*"
 UNTIL = rf".*QC .* to ({STAMP})\."
 SINCE = rf".*QC.* from ({STAMP}).*to.*"
+STARTED = "Start QC script."
 
 
 def last_matches(lines: DataFrame, text: str, n: int, order: str = "line") -> DataFrame:
@@ -34,7 +35,7 @@ def due(lines: DataFrame, previous, width: str = "10 minutes", overlap: str = "5
     return new.select("written", (F.col("window_stop") - back).alias("window_start"), "window_stop", "transfer_from")
 
 
-def previous_run(lines: DataFrame, message: str = "Start QC script.") -> DataFrame:
+def previous_run(lines: DataFrame, message: str = STARTED) -> DataFrame:
     """One row: when the last line with the message was written."""
     return lines.where(F.contains("value", F.lit(message))).agg(F.max_by(_time(WRITTEN), "line").alias("previous"))
 
