@@ -8,8 +8,8 @@ all fingerprints, 64 x 64 sums), and dynamic programming allocates the threshold
 
 Probing: every distinct fingerprint is filed under its partition's value with each choice of t_i bits struck out, so that
 those within t_i bits meet in some file. A file is searched breadth-first over the fingerprints not yet reached, in numpy:
-it yields a spanning forest of the true links, never all pairs. Files above FILE_ROWS are cut into blocks, and each pair of
-blocks is a task of its own. Exact copies share a fingerprint and are one node from the start.
+it yields a spanning forest of the true links, never all pairs (files of at most SMALL rows are compared at once and give
+their few links as they are). Files above FILE_ROWS are cut into blocks, and each pair of blocks is a task of its own. Exact copies share a fingerprint and are one node from the start.
 
 Classes of a fingerprint, links and components stay in tables; the driver sees 64 x 64 sums, the plan and counts.
 
@@ -92,7 +92,7 @@ def majorities(hashes: list[np.ndarray], n_words: int = 1) -> np.ndarray:
 
 
 #: Shingles that are counted at once.
-AT_ONCE = 1 << 18
+AT_ONCE = 1 << 17
 
 
 def fingerprints(docs: DataFrame, k: int, n_words: int = 1, more: str = "", bands: tuple[int, int] = (0, 0), kept: int | None = None) -> DataFrame:
@@ -394,7 +394,9 @@ def classes(fps: DataFrame, find) -> DataFrame:
     per = materialise(per, "nodes")
     roots = components(find(per.select("node", *other)))
     joined = per.select("node", "low").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    lows = joined.groupBy("root").agg(F.min("low").alias("component_id"))
+    joined = materialise(joined, "roots")
+    # Written, so that the join's sides are plain shuffles, of which a very large component's can be split.
+    lows = materialise(joined.groupBy("root").agg(F.min("low").alias("component_id")), "lows")
     return joined.join(lows, "root").select("node", "component_id")
 
 
