@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from .common import materialise, slots, table
 
 DEPTH = 50
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 LAST = (1 << 63) - 1
 BASE = 0x9E3779B97F4A7C15
 RUNS = "kind int, bucket int, doc long, tag int, start long, stop long, blob binary"
@@ -235,7 +235,7 @@ def _bucket_spans(depth: int):
     return settle
 
 
-def _sorted_bytes(depth: int, at_once: int = 100_000):
+def _sorted_bytes(depth: int, at_once: int = 50_000):
     """Pass 3 over contexts sorted by anchor: suffixes refined by eight bytes a pass; spans of the repeated ones."""
 
     def refine(ctx: pd.DataFrame) -> pd.DataFrame:
