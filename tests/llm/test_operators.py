@@ -183,9 +183,11 @@ def plain_ids(texts):
 
 def test_ids_are_the_vocabularys_own(spark):
     texts = [t for _, t in EDGE] + documents(spark).text.tolist()[:60] + ["a" * 5000, " " * 3000, "\n" * 999, "x1 " * 4000]
-    encode = tokens.encoder(tokens.vocabulary())
-    for text, ids in zip(texts, plain_ids(texts)):
-        assert encode(text or "").tolist() == ids and encode.count(text or "") == len(ids)
+    assert tokens.quick_is_equal(tokens.vocabulary())
+    for quick in (True, False):
+        encode = tokens.encoder(tokens.vocabulary(), quick)
+        for text, ids in zip(texts, plain_ids(texts)):
+            assert encode(text or "").tolist() == ids and encode.count(text or "") == len(ids)
 
 
 def check_packing(out, ids_of, capacity):

@@ -45,9 +45,10 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
 
 def pieces_of(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None) -> DataFrame:
     path = vocabulary or tokens.vocabulary()
+    quick = tokens.quick_is_equal(path)
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, task = tokens.encoder(path), TaskContext.get().partitionId()
+        encode, task = tokens.encoder(path, quick), TaskContext.get().partitionId()
         for batch in batches:
             rows: list[tuple] = []
             for key, text in zip(batch["doc_id"], batch["text"]):

@@ -62,9 +62,9 @@ def permute(index: np.ndarray, n: int, key: int = KEY, rounds: int = ROUNDS) ->
     return out.astype(np.int64)
 
 
-def _filled(texts: Iterator[pd.DataFrame], path: str, length: int) -> Iterator[np.ndarray]:
+def _filled(texts: Iterator[pd.DataFrame], path: str, quick: bool, length: int) -> Iterator[np.ndarray]:
     """The task's sequences: documents one after another, each closed; the last may be short."""
-    encode, parts, have = tokens.encoder(path), [], 0
+    encode, parts, have = tokens.encoder(path, quick), [], 0
     for batch in texts:
         for text in batch["text"]:
             ids = np.append(encode(text or ""), np.uint32(tokens.END))
@@ -86,10 +86,10 @@ def write_shards(docs: DataFrame, uri: str, length: int = LENGTH, per_shard: int
     """
     spark, path = docs.sparkSession, vocabulary or tokens.vocabulary()
     kind, stride = f"<u{bytes_per_id}", length * bytes_per_id
-    texts = docs.select(F.col("text").cast("string").alias("text"))
+    texts, quick = docs.select(F.col("text").cast("string").alias("text")), tokens.quick_is_equal(path)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids_of = tokens.encoder(path).count
+        ids_of = tokens.encoder(path, quick).count
         total = sum(ids_of(x or "") + 1 for b in batches for x in b["text"])
         yield pd.DataFrame({"task": [TaskContext.get().partitionId()], "n": [-(-total // length)]})
 
@@ -110,7 +110,7 @@ def write_shards(docs: DataFrame, uri: str, length: int = LENGTH, per_shard: int
             out.insert(1, "slot", permute(out["sequence_id"].to_numpy(np.int64), total, key))
             return out
 
-        for ids in _filled(batches, path, length):
+        for ids in _filled(batches, path, quick, length):
             data = ids.astype(kind).tobytes()
             rows.append((at, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), data.ljust(stride, b"\0")))
             at += 1

@@ -1,8 +1,8 @@
 """Token ids of whole texts with the public byte-level BPE vocabulary, in Python workers.
 
-The vocabulary file defines the ids. Its merge ranks also come in a form that a faster encoder reads; a worker checks at
-its start that both give the same ids for a probe text, and uses the vocabulary's own encoder for texts that hold its
-special token's string, for those that the fast one refuses, and for all if the probe fails.
+The vocabulary file defines the ids. Its merge ranks also come in a form that a faster encoder reads; the driver checks
+that both give the same ids for a probe text, and workers use the vocabulary's own encoder for texts that hold its special
+token's string, for those that the fast one refuses, and for all if the probe fails.
 """
 
 from __future__ import annotations
@@ -27,44 +27,59 @@ def vocabulary() -> str:
 
 
 @functools.lru_cache(maxsize=2)
-def encoder(path: str):
-    """A function from a text to its ids (uint32), without special tokens added; its ``count`` gives their number only."""
+def _full(path: str):
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
-    full = Tokenizer.from_file(path)
+    return Tokenizer.from_file(path)
 
-    def slow(text: str) -> np.ndarray:
-        return np.array(full.encode(text, add_special_tokens=False).ids, np.uint32)
 
+def _slow(path: str, text: str) -> np.ndarray:
+    return np.array(_full(path).encode(text, add_special_tokens=False).ids, np.uint32)
+
+
+@functools.lru_cache(maxsize=2)
+def _quick(path: str):
+    """The fast encoder of the vocabulary's ranks; None if there are none."""
     ranks_file = os.path.splitext(path)[0] + ".tiktoken"
-    slow.count = lambda text: len(slow(text))
     if not os.path.exists(ranks_file):
-        return slow
+        return None
     import public_tokenizers
     import tiktoken
 
     with open(ranks_file, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    quick = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    if quick.encode_ordinary(PROBE) != slow(PROBE).tolist():
-        return slow
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def ids(text: str) -> np.ndarray:
-        if SPECIAL in text:
-            return slow(text)
+
+def quick_is_equal(path: str) -> bool:
+    """Whether the fast encoder is there and gives the vocabulary's ids for the probe; asked once, on the driver."""
+    return _quick(path) is not None and _quick(path).encode_ordinary(PROBE) == _slow(path, PROBE).tolist()
+
+
+def encoder(path: str, quick: bool):
+    """A function from a text to its ids (uint32), without special tokens added; its ``count`` gives their number only.
+
+    quick: what quick_is_equal has said of the path.
+    """
+    encode = _quick(path).encode_ordinary if quick else None
+
+    def plain(text: str):
+        """Ids by the fast encoder, or None."""
+        if encode is None or SPECIAL in text:
+            return None
         try:
-            return np.frombuffer(array("I", quick.encode_ordinary(text)), np.uint32)
-        except Exception:  # the fast encoder refuses some very long runs
-            return slow(text)
+            return encode(text)
+        except Exception:  # it refuses some very long runs
+            return None
+
+    def ids(text: str) -> np.ndarray:
+        found = plain(text)
+        return _slow(path, text) if found is None else np.frombuffer(array("I", found), np.uint32)
 
     def count(text: str) -> int:
-        if SPECIAL in text:
-            return len(slow(text))
-        try:
-            return len(quick.encode_ordinary(text))
-        except Exception:
-            return len(slow(text))
+        found = plain(text)
+        return len(_slow(path, text) if found is None else found)
 
     ids.count = count
     return ids
