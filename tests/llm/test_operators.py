@@ -374,6 +374,46 @@ def test_one_of_each_near_copy(spark, edge, empty):
     assert {i for i, _ in few} >= {1, 2, 3, 4, 5, 6, 7, 12, 13} and sum(i == 11 for i, _ in few) == 1
 
 
+def plain_groups(rows, similarity=0.8, k=5):
+    """The rows' groups of near copies by brute force: lists of indices."""
+    sets = [set(simhash.shingle_hashes(t, k).tolist()) for _, t in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]) - 1e-9 and group[i] != group[j]:
+                old = group[i]
+                group = [group[j] if g == old else g for g in group]
+    found = defaultdict(list)
+    for i, g in enumerate(group):
+        found[g].append(i)
+    return list(found.values())
+
+
+def near_rows(seed):
+    """Texts of all sizes with copies that lie on both sides of the similarity, and texts that repeat a passage."""
+    rng = np.random.default_rng(seed)
+    draw = lambda n: [f"v{x}" for x in rng.integers(0, 100_000, n)]
+    texts = []
+    for n in [*range(1, 40), 64, 68, 72, 84, 90, *([120, 300] * 20)]:
+        w = draw(n)
+        texts.append(w)
+        for share in (0.71, 0.75, 0.79, 0.81, 0.85):  # words are put after a text: the Jaccard similarity is near to share
+            texts.append(w + draw(max(1, round((n - 4) / share) - (n - 4))))
+    for _ in range(10):
+        w, other = draw(60), draw(60)
+        texts += [w * 20 + other, w * 20, other]  # alike if shingles are counted as often as they come
+    return [(int(i), " ".join(w)) for i, w in zip(rng.permutation(len(texts)), texts)]
+
+
+@pytest.mark.parametrize("seed,at_once", [(0, 1 << 21), (1, 1 << 21), (1, 2000)])
+def test_near_copies_are_those_of_the_similarity(spark, monkeypatch, seed, at_once):
+    monkeypatch.setattr(simhash.verified_links, "__defaults__", (at_once,))
+    rows = near_rows(seed)
+    want = {min(rows[i][0] for i in g) for g in plain_groups(rows)}
+    got = [r.doc_id for r in simhash.keep_one(make(spark, rows)).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_components(spark, seed):
     rng = np.random.default_rng(seed)

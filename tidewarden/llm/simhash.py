@@ -23,7 +23,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
-from math import comb
+from math import ceil, comb
 
 import numpy as np
 import pandas as pd
@@ -41,6 +41,12 @@ FILE_ROWS = 32_768
 #: costs in one file of all fingerprints, which few tasks share.
 ROW_COST, PAIR_COST, ALONE = 5.0, 0.005, 8.0
 LANES = np.uint64(0x0101010101010101)
+#: Sets of up to so many shingles are too small for the binomial model of the bits. They are found by prefixes: of two sets
+#: as similar as asked, the least shingles share one. Their bounds are four standard deviations above the largest mean that
+#: small sets have at a similarity of 0.8 (4 of 5 shingles: 0.1875 of the bits).
+SHORT, SHORT_BOUNDS = 64, (25, 73)
+#: Shingles of a component that are compared at once.
+VERIFIED_AT_ONCE = 1 << 21
 
 
 def shingle_hashes(text: str | None, k: int) -> np.ndarray:
@@ -95,19 +101,29 @@ def majorities(hashes: list[np.ndarray], n_words: int = 1) -> np.ndarray:
 AT_ONCE = 1 << 17
 
 
-def fingerprints(docs: DataFrame, k: int, n_words: int = 1, more: str = "", bands: tuple[int, int] = (0, 0), kept: int | None = None) -> DataFrame:
+def _prefix(held: np.ndarray, similarity: float) -> np.ndarray:
+    """The least shingles of a set: sets as similar as that share one of them."""
+    return held[: len(held) - ceil(similarity * len(held) - 1e-9) + 1].view(np.int64)
+
+
+def fingerprints(docs: DataFrame, k: int, n_words: int = 1, more: str = "", bands: tuple[int, int] = (0, 0), kept: int | None = None, similarity: float = 1.0) -> DataFrame:
     """(doc_id, fp array<long>, n) of docs (doc_id, text): n shingles. more: a further column to carry, with its type.
 
-    bands: (m, w) adds ``bands``, m numbers of w bits each; ``fp`` then holds the first ``kept`` words only.
+    bands: (m, w) counts each shingle once, and adds ``node``, a hash of the set of shingles; ``bands``, m numbers of w bits
+    each, none for sets of up to SHORT; and ``prefix``, shingles by which sets of up to SHORT / similarity are found. ``fp``
+    then holds the first ``kept`` words only.
     """
     other = more.split()[0] if more else None
     m, w = bands
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            made, held, n = [], [], 0
+            made, held, n, nodes, prefix = [], [], 0, [], []
             for i, t in enumerate(batch["text"]):
-                held.append(shingle_hashes(t, k))
+                held.append(np.unique(shingle_hashes(t, k)) if m else shingle_hashes(t, k))
+                if m:
+                    nodes.append(xxhash.xxh64_intdigest(held[-1].tobytes(), SEED))
+                    prefix.append(_prefix(held[-1], similarity) if 0 < len(held[-1]) <= SHORT / similarity else np.zeros(0, np.int64))
                 n += len(held[-1])
                 if n >= AT_ONCE or i + 1 == len(batch):
                     made.append((majorities(held, n_words), [len(h) for h in held]))
@@ -118,13 +134,15 @@ def fingerprints(docs: DataFrame, k: int, n_words: int = 1, more: str = "", band
             out = pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "fp": list(words[:, :kept].view(np.int64)), "n": [c for _, y in made for c in y]})
             if m:
                 bits = np.unpackbits(np.ascontiguousarray(words).view(np.uint8), axis=1, bitorder="little")[:, : m * w]
-                out["bands"] = list(bits.reshape(len(words), m, w) @ (1 << np.arange(w, dtype=np.int64)))
+                made_of = bits.reshape(len(words), m, w) @ (1 << np.arange(w, dtype=np.int64))
+                out["bands"] = [x if c > SHORT else x[:0] for x, c in zip(made_of, out["n"])]
+                out["prefix"], out["node"] = prefix, np.array(nodes, np.uint64).view(np.int64)
             if other:
                 out[other] = batch[other].to_numpy()
             yield out
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *([other] if other else []))
-    schema = "doc_id long, fp array<long>, n long" + (", bands array<long>" if m else "") + (f", {more}" if more else "")
+    schema = "doc_id long, fp array<long>, n long" + (", bands array<long>, prefix array<long>, node long" if m else "") + (f", {more}" if more else "")
     return src.mapInPandas(rows, schema)
 
 
@@ -369,6 +387,88 @@ def similar_links(nodes: DataFrame, limit: int, full: int, file_rows: int = FILE
     return _searched(filed, limit, full, file_rows)
 
 
+def short_links(nodes: DataFrame, file_rows: int = FILE_ROWS) -> DataFrame:
+    """Links of nodes (node, fp, prefix) that share a shingle of their prefixes and lie within SHORT_BOUNDS."""
+    filed = nodes.select("node", "fp", F.lit(0).cast("long").alias("mask_id"), F.explode("prefix").alias("part"))
+    return _searched(filed, *SHORT_BOUNDS, file_rows)
+
+
+def _similar(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Spanning links (row, row) of the sets of at least that Jaccard similarity, by the rows of each element."""
+    size = np.fromiter(map(len, sets), np.int64, len(sets))
+    enough = lambda both, x, y: both >= similarity * (size[x] + size[y] - both) - 1e-9
+    if len(sets) == 2:
+        return [(0, 1)] if enough(len(np.intersect1d(*sets, assume_unique=True)), 0, 1) else []
+    _, code = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), size)[np.argsort(code, kind="stable")]
+    count = np.bincount(code)
+    begin, edge = np.cumsum(count) - count, np.cumsum(size) - size
+    left, out = np.ones(len(sets), bool), []
+    for first in range(len(sets)):
+        if not left[first]:
+            continue
+        front, left[first] = [first], False
+        while front and left.any():
+            x = front.pop()
+            c = code[edge[x] : edge[x] + size[x]]
+            n = count[c]
+            rows = owner[np.repeat(begin[c] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+            both = np.bincount(rows, minlength=len(sets))
+            got = np.nonzero(left & enough(both, x, slice(None)))[0]
+            left[got] = False
+            out += [(x, y) for y in got.tolist()]
+            front += got.tolist()
+    return out
+
+
+def _verified(similarity: float):
+    """A mapInPandas function over rows (root, lo, hi, node, held) sorted by the first three: the links of each group."""
+
+    def links_of(group: list[tuple]) -> list[tuple[int, int]]:
+        held = dict(group)
+        nodes = list(held)
+        return [(nodes[i], nodes[j]) for i, j in _similar([np.frombuffer(x, np.uint64) for x in held.values()], similarity)] if len(nodes) > 1 else []
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group, at = [], None
+        for batch in batches:
+            out = []
+            for *key, node, held in batch[["root", "lo", "hi", "node", "held"]].itertuples(index=False):
+                if key != at:
+                    out += links_of(group)
+                    group, at = [], key
+                group.append((node, held))
+            yield pd.DataFrame(out, columns=["a", "b"])
+        yield pd.DataFrame(links_of(group), columns=["a", "b"])
+
+    return search
+
+
+def verified_links(ids: DataFrame, fps: DataFrame, candidates: DataFrame, k: int, similarity: float, at_once: int = VERIFIED_AT_ONCE) -> DataFrame:
+    """Links that span the components of similar nodes, by the sets themselves, inside each component of the candidates.
+
+    A component's nodes are compared with each other, so that no link is lost with a candidate that another one replaced.
+    Components of more than at_once shingles are cut into blocks; each pair of blocks is one group.
+    """
+    per = fps.join(components(candidates), "node").groupBy("node", "root").agg(F.min(F.struct("doc_id", "tag")).alias("one"), F.first("n").alias("n"))
+    per = materialise(per.select("node", "root", "n", F.col("one.doc_id").alias("_id"), F.col("one.tag").alias("_tag")), "asked")
+    sizes = per.groupBy("root").agg(F.ceil(F.sum("n") / F.lit(at_once // 2 * 0.9)).cast("int").alias("blocks"), F.sum("n").alias("all"))
+    sizes = sizes.select("root", F.when(F.col("all") <= at_once, 1).otherwise(F.col("blocks")).alias("blocks"))
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"node": batch["node"], "root": batch["root"], "blocks": batch["blocks"], "held": [np.unique(shingle_hashes(t, k)).tobytes() for t in batch["text"]]})
+
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tag") == F.col("_tag"))
+    held = ids.join(per.join(sizes, "root"), same).select("node", "root", "blocks", F.col("text").cast("string").alias("text"))
+    held = held.mapInPandas(sets, "node long, root long, blocks int, held binary")
+    i = F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int")
+    cut = held.select("node", "root", "held", i.alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
+    cut = cut.select("node", "root", "held", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"))
+    keys = ["root", "lo", "hi"]
+    return cut.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(_verified(similarity), "a long, b long")
+
+
 def _searched(filed: DataFrame, limit: int, full: int, file_rows: int) -> DataFrame:
     """Links inside the files (mask_id, part) of filed (node, fp, mask_id, part)."""
     near = filed.repartition("mask_id", "part").sortWithinPartitions("mask_id", "part").mapInPandas(_links(limit, full, ["mask_id", "part"], file_rows), "kind int, a long, b long")
@@ -389,7 +489,7 @@ def _searched(filed: DataFrame, limit: int, full: int, file_rows: int) -> DataFr
 
 def classes(fps: DataFrame, find) -> DataFrame:
     """(node, component_id) for each distinct fingerprint of fps (doc_id, node, ...); find: nodes -> links."""
-    other = [c for c in ("fp", "bands") if c in fps.columns]
+    other = [c for c in ("fp", "bands", "prefix") if c in fps.columns]
     per = fps.groupBy("node").agg(*[F.first(c).alias(c) for c in other], F.min("doc_id").alias("low"))
     per = materialise(per, "nodes")
     roots = components(find(per.select("node", *other)))
@@ -410,15 +510,16 @@ def near_duplicates(docs: DataFrame, k: int = 3, limit: int = 3) -> DataFrame:
 #: The similarity form. At a Jaccard similarity s of the shingles, two fingerprints differ in acos(2s / (1 + s)) / pi of
 #: their bits. Candidates agree in one of m bands of w bits: thresholds of zero in m partitions, which the pigeonhole makes
 #: certain up to m - 1 differing bits, and which at s still find all but MISSED of the pairs. w follows from the number
-#: of documents, so that unrelated ones meet in files of FILE_MEAN; m follows from w. Candidates are verified on 256 bits.
+#: of documents, so that unrelated ones meet in files of FILE_MEAN; m follows from w. Candidates are within bounds on 256
+#: bits, and are then verified by the Jaccard similarity itself.
 VERIFIED_WORDS, FILE_MEAN, MISSED = 4, 8, 0.02
 
 
 def bit_bounds(similarity: float, n_words: int = VERIFIED_WORDS) -> tuple[int, int]:
-    """Bounds on the first word and on all: the mean at the similarity, and 2.5 and 1 standard deviations on top."""
+    """Bounds on the first word and on all: the mean at the similarity and three standard deviations on top."""
     p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     sd = lambda n: (n * p * (1 - p)) ** 0.5
-    return int(BITS * p + 2.5 * sd(BITS)), int(BITS * n_words * p + sd(BITS * n_words))
+    return int(BITS * p + 3 * sd(BITS)), int(BITS * n_words * p + 3 * sd(BITS * n_words))
 
 
 def band_plan(n: int, similarity: float) -> tuple[int, int]:
@@ -431,15 +532,16 @@ def band_plan(n: int, similarity: float) -> tuple[int, int]:
 def keep_one(docs: DataFrame, k: int = 5, similarity: float = 0.8, key: str = "doc_id") -> DataFrame:
     """The input rows with one row of each group of near copies: the one of smallest key (all columns as they came).
 
-    Repeated rows of that key are one row. Texts without words are left as they are.
+    Near copies are texts whose sets of k-word shingles have at least the given Jaccard similarity, and a group is all that
+    such pairs connect. Repeated rows of that key are one row. Texts without words are left as they are.
     """
     first, full = bit_bounds(similarity)
     m, w = band_plan(docs.count(), similarity)
     tag = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
     ids = docs.select(F.col(key).cast("long").alias("doc_id"), "text", tag.alias("tag"))
-    fps = fingerprints(ids, k, max(VERIFIED_WORDS, -(-m * w // BITS)), "tag long", (m, w), VERIFIED_WORDS)
-    fps = materialise(fps.withColumn("node", F.xxhash64("fp", "bands")), "fingerprints")
-    groups = classes(fps.where("n > 0"), lambda nodes: similar_links(nodes, first, full))
+    fps = fingerprints(ids, k, max(VERIFIED_WORDS, -(-m * w // BITS)), "tag long", (m, w), VERIFIED_WORDS, similarity)
+    fps = materialise(fps, "fingerprints")
+    groups = classes(fps.where("n > 0"), lambda nodes: verified_links(ids, fps, similar_links(nodes, first, full).union(short_links(nodes)), k, similarity))
     kept = fps.join(groups, "node", "left").where("n = 0 OR component_id IS NULL OR doc_id = component_id")
     kept = kept.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_kept")).distinct()
     rows = docs.select(F.struct("*").alias("_row"), F.col(key).cast("long").alias("_key"), tag.alias("_tag"))
