@@ -478,6 +478,15 @@ def test_removed_from_few_letters(spark, monkeypatch, seed, depth, chunk):
     assert got == plain_removed(rows, depth)
 
 
+def test_texts_of_the_null_key_with_equal_32_bit_hashes(spark):
+    passage = "a passage of more than fifty bytes that an earlier document has as well"
+    numbers = spark.range(300_000).select(F.col("id").cast("string").alias("n"))
+    long, short = (numbers.select(F.concat(F.lit(t), "n").alias(c)).select(c, F.hash(c).alias("h")) for c, t in (("a", passage + " and number "), ("b", "another one, no. ")))
+    pair = long.join(short, "h").orderBy("h").first()
+    rows = [(1, passage), (None, pair.a), (None, pair.b), (None, pair.b + " whose rest " + passage)]
+    assert Counter(map(tuple, suffixes.removed(make(spark, rows)).collect())) == plain_removed(rows, 50)
+
+
 def test_texts_without_repeats(spark, edge, empty):
     passage = "é" * 40 + " a passage that two documents share, word by word, to its end"
     docs = make(spark, [(1, passage + " one"), (2, "two " + passage), (3, None), (4, "x" * 60), (4, "x" * 60)])

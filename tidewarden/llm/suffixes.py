@@ -39,10 +39,10 @@ DEPTH = 50
 CHUNK = 1 << 20
 LAST = (1 << 63) - 1
 BASE = 0x9E3779B97F4A7C15
-RUNS = "kind int, bucket int, doc long, tag int, start long, stop long, blob binary"
+RUNS = "kind int, bucket int, doc long, tag long, start long, stop long, blob binary"
 DIGEST = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-SPANS = "kind int, doc long, tag int, start long, stop long, anchor long, rel int"
-FIELDS = (("anchor", np.uint64), ("run", np.uint64), ("doc", np.int64), ("start", np.int64), ("tag", np.int32), ("width", np.uint8), ("rel", np.uint8))
+SPANS = "kind int, doc long, tag long, start long, stop long, anchor long, rel int"
+FIELDS = (("anchor", np.uint64), ("run", np.uint64), ("doc", np.int64), ("start", np.int64), ("tag", np.int64), ("width", np.uint8), ("rel", np.uint8))
 
 
 def _table() -> np.ndarray:
@@ -115,7 +115,7 @@ def runs_of(buf: np.ndarray, pieces: np.ndarray, values: np.ndarray, depth: int)
 
 
 def _pack(rows: dict[str, np.ndarray]) -> bytes:
-    parts = [np.diff(rows[f], prepend=rows[f].dtype.type(0)) if f in ("doc", "start") else rows[f] for f, _ in FIELDS]
+    parts = [np.diff(rows[f], prepend=rows[f].dtype.type(0)) if f in ("doc", "start", "tag") else rows[f] for f, _ in FIELDS]
     return zstandard.ZstdCompressor(level=1).compress(b"".join(np.ascontiguousarray(p, t).tobytes() for p, (_, t) in zip(parts, FIELDS)))
 
 
@@ -124,7 +124,7 @@ def _unpack(blob: bytes) -> dict[str, np.ndarray]:
     n, at, out = len(data) // sum(np.dtype(t).itemsize for _, t in FIELDS), 0, {}
     for f, t in FIELDS:
         x = np.frombuffer(data, t, n, at)
-        out[f] = np.cumsum(x) if f in ("doc", "start") else x
+        out[f] = np.cumsum(x) if f in ("doc", "start", "tag") else x
         at += x.nbytes
     return out
 
@@ -170,7 +170,7 @@ def _chunk_runs(depth: int, buckets: int, chunk: int):
         begin = (np.cumsum(sizes) - sizes)[owner]
         base = np.array([p[2] for p in pieces], np.int64)[owner]
         rows = {
-            "anchor": hashed, "run": run, "doc": np.array([p[0] for p in pieces], np.int64)[owner], "tag": np.array([p[1] for p in pieces], np.int32)[owner],
+            "anchor": hashed, "run": run, "doc": np.array([p[0] for p in pieces], np.int64)[owner], "tag": np.array([p[1] for p in pieces], np.int64)[owner],
             "start": first - begin + base, "width": (last - first).astype(np.uint8), "rel": (anchor - first).astype(np.uint8),
         }
         low, _ = _least(rows["doc"], hashed, run)
@@ -261,7 +261,7 @@ def _sorted_bytes(depth: int, at_once: int = 50_000):
             pos, doc, owner, step, group, low = pos[on], doc[on], owner[on], step[on], group[on], low[on]
         hit = doc > low
         start = ctx["start"].to_numpy(np.int64)[owner[hit]] + step[hit]
-        a, b, c, d = _joined(doc[hit], ctx["tag"].to_numpy(np.int32)[owner[hit]], start, start + depth)
+        a, b, c, d = _joined(doc[hit], ctx["tag"].to_numpy(np.int64)[owner[hit]], start, start + depth)
         return pd.DataFrame({"doc": a, "tag": b, "start": c, "stop": d})
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -289,15 +289,15 @@ def spans(keyed: DataFrame, depth: int = DEPTH, chunk: int = CHUNK) -> DataFrame
     size = (F.col("stop") - F.col("start")).cast("int")
     ctx = asked.join(keyed.select("doc", "tag", "data"), ["doc", "tag"]).select("anchor", "rel", "doc", "tag", "start", F.substring("data", (F.col("start") + 1).cast("int"), size).alias("data"))
     ctx = ctx.repartition("anchor").sortWithinPartitions("anchor")
-    more = ctx.mapInPandas(_sorted_bytes(depth), "doc long, tag int, start long, stop long")
+    more = ctx.mapInPandas(_sorted_bytes(depth), "doc long, tag long, start long, stop long")
     both = settled.where("kind = 0").select("doc", "tag", "start", "stop").union(more)
     return both.groupBy("doc", "tag").agg(F.flatten(F.collect_list(F.array("start", "stop"))).alias("spans"))
 
 
 def keyed_texts(docs: DataFrame, *more: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, tag, data, ...): doc is the key, null last; tag tells different texts of one key apart; data are UTF-8 bytes."""
+    """(doc, tag, data, ...): doc is the key, null last; tag, of 64 bits, tells different texts of one key apart; data are UTF-8 bytes."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    return docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc"), F.hash(t).alias("tag"), t.cast("binary").alias("data"), *more)
+    return docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(t).alias("tag"), t.cast("binary").alias("data"), *more)
 
 
 def _merged(flat) -> np.ndarray:
