@@ -414,6 +414,15 @@ def test_near_copies_are_those_of_the_similarity(spark, monkeypatch, seed, at_on
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_one_near_copy_stays_of_null_and_repeated_keys(spark):
+    words = [[f"{g}n{i}" for i in range(150)] for g in "abcde"]
+    a, b, c, d, e = ([" ".join(w[:n]) for n in (150, 148, 146, 144)] for w in words)
+    rows = [(None, x) for x in a] + [(None, a[0])] + [(7, x) for x in b] + [(9, b[0])] + [(None, c[0]), (11, c[1]), (12, c[2])] + [(13, d[0]), (13, d[0]), (None, d[0])] + [(None, e[0] + x) for x in ("", " ")]
+    got = simhash.keep_one(make(spark, rows)).collect()
+    assert Counter(r.doc_id for r in got) == Counter([None, 7, 11, 13, None])
+    assert {r.text.strip() for r in got if r.doc_id is None} & set(a) and all(r.text in b for r in got if r.doc_id == 7)
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_components(spark, seed):
     rng = np.random.default_rng(seed)

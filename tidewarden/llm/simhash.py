@@ -530,10 +530,11 @@ def band_plan(n: int, similarity: float) -> tuple[int, int]:
 
 
 def keep_one(docs: DataFrame, k: int = 5, similarity: float = 0.8, key: str = "doc_id") -> DataFrame:
-    """The input rows with one row of each group of near copies: the one of smallest key (all columns as they came).
+    """The input rows with one row of each group of near copies: the one of smallest key, null ones last (all columns as
+    they came). Of a group's different texts of that key, the one of smallest hash stays.
 
     Near copies are texts whose sets of k-word shingles have at least the given Jaccard similarity, and a group is all that
-    such pairs connect. Repeated rows of that key are one row. Texts without words are left as they are.
+    such pairs connect. Repeated rows of that key are one row. Texts without words are left as they are, repeated rows as one.
     """
     first, full = bit_bounds(similarity)
     m, w = band_plan(docs.count(), similarity)
@@ -541,8 +542,9 @@ def keep_one(docs: DataFrame, k: int = 5, similarity: float = 0.8, key: str = "d
     ids = docs.select(F.col(key).cast("long").alias("doc_id"), "text", tag.alias("tag"))
     fps = fingerprints(ids, k, max(VERIFIED_WORDS, -(-m * w // BITS)), "tag long", (m, w), VERIFIED_WORDS, similarity)
     fps = materialise(fps, "fingerprints")
-    groups = classes(fps.where("n > 0"), lambda nodes: verified_links(ids, fps, similar_links(nodes, first, full).union(short_links(nodes)), k, similarity))
-    kept = fps.join(groups, "node", "left").where("n = 0 OR component_id IS NULL OR doc_id = component_id")
+    ranked = fps.withColumn("doc_id", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag"))
+    groups = classes(ranked.where("n > 0"), lambda nodes: verified_links(ids, fps, similar_links(nodes, first, full).union(short_links(nodes)), k, similarity))
+    kept = groups.select("component_id.*").union(ranked.where("n = 0").select("doc_id.*"))
     kept = kept.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_kept")).distinct()
     rows = docs.select(F.struct("*").alias("_row"), F.col(key).cast("long").alias("_key"), tag.alias("_tag"))
     rows = rows.join(kept, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_tag") == F.col("_kept")), "left_semi")
