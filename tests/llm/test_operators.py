@@ -5,6 +5,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -122,6 +123,30 @@ def test_licence_forms(spark, empty):
     assert known.count() <= licenses.MAX_KNOWN
 
 
+ZLIB = """Copyright (c) 1999 Some One
+
+This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
+
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+
+3. This notice may not be removed or altered from any source distribution.
+"""
+
+
+def test_licences_by_their_whole_texts(spark, tmp_path):
+    found = {n: Path("/usr/share/common-licenses", n) for n in ("GPL-2", "MPL-2.0")}
+    rows = [(1, ZLIB), (2, "MIT License\n\nCopyright (c) 2020 Some One\n\n" + licenses.FULL_TEXTS["MIT"])] + [(3 + i, p.read_text()) for i, p in enumerate(found.values()) if p.exists()]
+    make(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.text_licence, r.restricted) for r in licenses.op1_license_scan(spark, str(tmp_path)).collect()}
+    want = {1: ("Zlib", False), 2: ("MIT", False), 3: ("GPL-2.0", True), 4: ("MPL-2.0", True)}
+    assert got == {i: want[i] for i, _ in rows}
+    assert {*licenses.FULL_TEXTS, *licenses.FULL_DIGESTS} >= set(licenses.NAMES) - {"AGPL-3.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0"}
+
+
 def test_licence_edges(spark, edge):
     out = licenses.scan(edge, licenses.known_digests(spark), 2000).toPandas()
     assert len(out) == len(EDGE) and out.text_digest.notna().all()

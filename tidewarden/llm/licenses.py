@@ -53,6 +53,58 @@ THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH RE
     "0BSD": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.
 THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
 }
+#: Digests of the canonical forms of further whole texts, as packages carry them: with and without title or appendix. Texts of
+#: AGPL-3.0 and the three CC BY licences are missing. The SQL form does not have these.
+FULL_DIGESTS: dict[str, tuple[str, ...]] = {
+    "Apache-2.0": (
+        "69a51938c7bc3c6ce9082ac0a28a35902fc58dbb5eb1b5cc986220794fda9118",
+        "6366c4fe55cd4a3d37bfe3798a0b5d7cb972fd18662663ce3bd50855a8e6dd50",
+        "2111987754ca7647fea023cb592d41a04ab9a4c46b0d50e4c729fb00cf846a51",
+        "704e2bc1fe11167bf80f6ff042eae8706a53f6c24b47c72166dbccc81169e0b4",
+    ),
+    "BSD-2-Clause": (
+        "a56fee4b2f66331ed54da4950ef9c9391453fd1490b4d8ea202bc29683bcbd30",
+        "032f33a9fad178d38ba062bc5f6e47fde5eb48f13d4c8895fe1360e806c83a69",
+    ),
+    "BSD-3-Clause": (
+        "cc65957a28f15bbcef5b0c23770aae3bd8462cb25904250f77a812ab3b2efe15",
+        "9b83d3dee0616d07b82a272dd9bf5134a9f402b750f5ee6188458073b0a32ff2",
+        "f94931e221f919e6cec5ca99e0ea7da1912b2c7d805cdaee8baf508c248bc1af",
+        "21ce5e311a0ef74591e636cf6d0a236029bcaa0ee86324ac68d5748657aa8651",
+    ),
+    "MIT": (
+        "35a446201226de6b27cfb7106d0f6c697f63bfeac2913dcf89024911e66ef164",
+        "6c833965e9ca4cf8095655005226f24fe8bf7b1605dbe513204837a7371fa127",
+        "6ad3654379e72bbdf8478d5c90fb1e2525aba033fbe675e0ef2248aac67c0f6f",
+    ),
+    "ISC": (
+        "e00f31f158e77a60e7375307e014eeb17754967f6d6757d019567221315db4e1",
+        "fa224876c62df0b2fc8bde54e6682fed261c5669e98fcbcd614754b5f1b8e4e2",
+    ),
+    "Zlib": (
+        "1b8c5cd52eceb19ab0bc3cb40be110b1c0e7fa2671a3fe5866e59dd1502e69c7",
+    ),
+    "Unlicense": (
+        "8d3909f4543649cfba0b0b1fc765c67acf3736106a78237ea2972f83eaa7dd3e",
+    ),
+    "CC0-1.0": (
+        "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f",
+    ),
+    "GPL-2.0": (
+        "b866f5427b78991db8012466b32f51c907f5e974fde5129a47372d0d0552e3a1",
+        "25627449d33fbf0884598d51959715a22ffc4dfb1f8d2456afb45d8e5a146ddf",
+    ),
+    "GPL-3.0": (
+        "504029fa408a954a900b32f989ecf668cb19b1d5f813ef39efa178fc96e2db75",
+        "f3ab5ee40da170411ea6671f9845ada2aaba303ee57ba6086b373d1e66c9dc3f",
+    ),
+    "LGPL-3.0": (
+        "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be",
+    ),
+    "MPL-2.0": (
+        "8f0473f9c917c507827dca355168119bb065ca1a9dab0e366988bcdba5fa039b",
+    ),
+}
 #: Equivalent spellings, applied to the lower-cased form in this order.
 SPELLINGS = (("licenc", "licens"), ("isation", "ization"), ("favour", "favor"), ("copyright owner", "copyright holder"), ("non-commercial", "noncommercial"), ("sub-licens", "sublicens"), ("whilst", "while"), ("http:", "https:"))
 #: A copyright line goes as a whole. Fixed pattern, also valid in RE2 for the SQL form.
@@ -84,7 +136,11 @@ def known_digests(spark: SparkSession, texts: list[tuple[str, str, str]] | None
     rows = known_texts() if texts is None else texts
     schema = T.StructType([T.StructField(c, T.StringType()) for c in ("licence", "licence_class", "text")])
     df = spark.createDataFrame(rows, schema)
-    return df.select(F.sha2(canonical(F.col("text")), 256).alias("digest"), "licence", "licence_class").groupBy("digest").agg(F.min("licence").alias("licence"), F.min_by("licence_class", "licence").alias("licence_class"))
+    df = df.select(F.sha2(canonical(F.col("text")), 256).alias("digest"), "licence", "licence_class")
+    if texts is None:
+        more = [(d, licence, NAMES[licence][0]) for licence, digests in FULL_DIGESTS.items() for d in digests]
+        df = df.union(spark.createDataFrame(more, df.schema))
+    return df.groupBy("digest").agg(F.min("licence").alias("licence"), F.min_by("licence_class", "licence").alias("licence_class"))
 
 
 def scan(docs: DataFrame, known: DataFrame, known_rows: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -116,8 +172,8 @@ def scan(docs: DataFrame, known: DataFrame, known_rows: int, key: str = "doc_id"
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = known_texts()
-    return scan(table(spark, sf_dir, "documents"), known_digests(spark, texts), len(texts))
+    n = len(known_texts()) + sum(map(len, FULL_DIGESTS.values()))
+    return scan(table(spark, sf_dir, "documents"), known_digests(spark), n)
 
 
 def _sql() -> str:
