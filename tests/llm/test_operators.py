@@ -637,6 +637,18 @@ def test_nearest_is_exact(spark, seed, shard_rows):
     assert neighbours.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_query_ids_of_several_vectors_search_with_each(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(300)] + [(i, rng.normal(size=6).tolist()) for i in (0, 0, 20, 40, 41)] + [(60, [1.0, 2.0]), (61, [3.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in neighbours.nearest(df, F.col("vec_id") % 20 == 0, 20, shard_rows=40).collect()]
+    want = set()
+    for i in {i for i, _ in rows if i % 20 == 0}:  # the best of all the id's vectors, as in SQL
+        best = sorted((-sum_of(q, v), j) for x, q in rows if x == i for j, v in rows if j != i and len(v) == len(q))[:20]
+        want |= {(i, r + 1, j, -s) for r, (s, j) in enumerate(best)}
+    assert len(got) == len(want) and set(got) == want
+
+
 def test_relaxed_search_trades_recall():
     rng = np.random.default_rng(4)
     x = rng.normal(size=(3000, 8))

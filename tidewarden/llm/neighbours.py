@@ -12,8 +12,8 @@ term in double precision, so that scores and ties don't depend on shapes or shar
 point with its k + 1 smallest ids, which is all that ties can ever need: thousands of copies don't deepen a tree.
 
 Defined results: null, zero and non-finite vectors, and ones with null components, take no part; a query meets candidates
-of its own length only; a null vec_id takes no part; repeated (vec_id, vector) rows are one candidate; fewer candidates
-than k give fewer rows; an empty table gives none; other columns are not read.
+of its own length only; a null vec_id takes no part; repeated (vec_id, vector) rows are one candidate and one
+query; a query id of several vectors is searched with each, and its k best hits are of all of them; fewer candidates than k give fewer rows; an empty table gives none; other columns are not read.
 """
 
 from __future__ import annotations
@@ -197,8 +197,8 @@ def nearest(df: DataFrame, is_query, k: int = K, relax: float = RELAX, shard_row
 
     dealt = vecs.select("vec_id", "v", "dim", F.pmod(F.xxhash64("vec_id"), by_dim(n_shards)).cast("int").alias("shard"))
     trees = dealt.groupBy("dim", "shard").applyInPandas(grown, "dim int, shard int, tree binary")
-    asked = vecs.where(is_query).select("vec_id", "v", "dim", F.pmod(F.xxhash64("vec_id", F.lit(7)), by_dim(n_blocks)).cast("int").alias("block"))
-    asked = asked.dropDuplicates(["vec_id"])
+    asked = vecs.where(is_query).select("vec_id", "v", "dim", F.pmod(F.xxhash64("vec_id", "v", F.lit(7)), by_dim(n_blocks)).cast("int").alias("block"))
+    asked = asked.dropDuplicates(["vec_id", "v"])
     blocks = asked.groupBy("dim", "block").applyInPandas(packed, "dim int, queries binary")
     blocks = blocks.select("dim", "queries", F.explode(F.sequence(F.lit(0), by_dim(n_shards) - 1)).alias("shard"))
     hits = trees.join(blocks, ["dim", "shard"]).select("tree", "queries").mapInPandas(found, "query_id long, vec_id long, score double")
