@@ -284,6 +284,15 @@ def test_sequences_round_trip(spark, edge, empty):
     assert sequences.write_shards(empty, uri).count() == 0 and list(sequences.read_slots(uri)) == []
 
 
+def test_sequences_replace_those_of_another_corpus(spark):
+    uri = new_path(spark, "test")
+    for word, key in (("one ", 1), ("two ", 1), ("two ", 2)):
+        docs = make(spark, [(i, word * (100 + i)) for i in range(20)])
+        out = sequences.write_shards(docs, uri, length=16, per_shard=8, key=key).toPandas().sort_values("slot")
+        rows = list(sequences.read_slots(uri))
+        assert [zlib.crc32(r[:n].astype("<u4").tobytes()) for r, n in zip(rows, out.n_tokens)] == out.ids_crc32.tolist()
+
+
 # near duplicates
 
 

@@ -124,14 +124,20 @@ def write_shards(docs: DataFrame, uri: str, length: int = LENGTH, per_shard: int
         out_fs, out_root = fs.FileSystem.from_uri(uri)
         shard, rows = None, []
 
+        def held(name: str) -> bool:
+            with out_fs.open_input_stream(name) as f:
+                return all(f.read(stride) == r.ids for r in rows)
+
         def close() -> pd.DataFrame:
             name = f"{out_root}/shard-{shard:08d}.bin"
             info = out_fs.get_file_info(name)
-            if info.size != len(rows) * stride:  # a shard is whole or not there
+            if info.size != len(rows) * stride or not held(name):  # a shard is whole or not there, or another corpus's
                 temporary = f"{name}.{TaskContext.get().taskAttemptId()}.tmp"
                 with out_fs.open_output_stream(temporary) as f:
                     for r in rows:
                         f.write(r.ids)
+                if info.is_file:
+                    out_fs.delete_file(name)
                 out_fs.move(temporary, name)
             return pd.DataFrame([(r.slot, r.sequence_id, shard, (r.slot - shard * per_shard) * stride, r.n_tokens, r.ids_crc32) for r in rows], columns=[c.split()[0] for c in OUT.split(", ")])
 
