@@ -1,7 +1,5 @@
 """Checks on small series: clause by clause."""
 
-from itertools import product
-
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -13,19 +11,28 @@ S = 1_000_000
 COLS = "iot_id long, datastream_id long, thing_id long, t long, result double, longitude double, latitude double, qc_flag int, region string"
 
 
-def table(spark, n=10, **change):
-    """Two series of n / 2 rows, one a second, at equal times; a slow track."""
-    rows = []
-    for i in range(n):
-        d, k = divmod(i, n // 2)
-        rows.append(dict(iot_id=i, datastream_id=d, thing_id=0, t=k * S, result=k * 2.345 + d * 10, longitude=50 + i * 0.001, latitude=20 + i * 0.001, qc_flag=0, region=None))
-    for (i, c), v in change.get("at", {}).items():
+HALF = 6
+
+
+def table(spark, at=None, without=()):
+    """Two series of HALF rows each, at equal times; values and a slow track drawn with a seed."""
+    rng, rows = np.random.default_rng(11), []
+    for i in range(2 * HALF):
+        d, k = divmod(i, HALF)
+        rows.append(dict(iot_id=i, datastream_id=d, thing_id=0, t=k * 4 * S, result=float(rng.uniform(1, 9)), longitude=-30 + rng.normal(0, 1e-4), latitude=12 + rng.normal(0, 1e-4), qc_flag=0, region=None))
+    for (i, c), v in (at or {}).items():
         rows[i][c] = v
-    rows = [r for i, r in enumerate(rows) if i not in change.get("without", ())]
+    rows = [r for i, r in enumerate(rows) if i not in without]
     names = [c.split()[0] for c in COLS.split(", ")]
     return spark.createDataFrame([tuple(r[c] for c in names) for r in rows], COLS)
 
 
+def metres(lon1, lat1, lon2, lat2):
+    """Great-circle distance by the angle between two unit vectors."""
+    u, v = ([np.cos(np.radians(y)) * np.cos(np.radians(x)), np.cos(np.radians(y)) * np.sin(np.radians(x)), np.sin(np.radians(y))] for x, y in ((lon1, lat1), (lon2, lat2)))
+    return 6371008.8 * np.arctan2(np.linalg.norm(np.cross(u, v)), np.dot(u, v))
+
+
 def by_id(df, *cols):
     return {r[0]: r[1] if len(cols) == 1 else tuple(r[1:]) for r in df.select("iot_id", *cols).collect()}
 
@@ -77,87 +84,122 @@ def test_zscore(spark):
     assert some[6] is None and np.isclose(some[5], (2 - 1.5) / np.std([1, 2, 1, 2, 1, 2], ddof=1))
 
 
-@pytest.mark.parametrize("idx,shift,columns", [([1, 4], 1, ["longitude"]), ([3, 4], 1, ["latitude"]), ([3, 4], -0.1, ["longitude"]), ([3, 4], -0.1, ["latitude", "longitude"]), ([3, 6], -1, ["latitude"])])
-def test_spatial_outlier(spark, idx, shift, columns):
-    base = {"longitude": 50.0, "latitude": 20.0}
-    at = {(i, c): base[c] + i * 0.001 - shift for i, c in product(idx, columns)}
-    got = by_id(checks.with_spatial_outlier(table(spark, at=at), 300.0, "5min", "thing_id"), "spatial_outlier")
-    assert sorted(i for i, x in got.items() if x) == sorted(idx)
+def drawn_track(seed, n=18):
+    """(iot_id, thing_id, t, longitude, latitude): a slow walk with a few far jumps and uneven steps of time."""
+    rng = np.random.default_rng(seed)
+    t = np.cumsum(rng.integers(3, 60, n)) * S
+    lon, lat = -7.5 + np.cumsum(rng.normal(0, 2e-4, n)), 43.2 + np.cumsum(rng.normal(0, 2e-4, n))
+    far = rng.choice(n, 3, replace=False)
+    lon[far] += rng.choice([-0.9, 0.7], 3)
+    return [(i, 0, int(a), float(x), float(y)) for i, (a, x, y) in enumerate(zip(t, lon, lat))]
 
 
-#: Legs of a made-up track: metres and heading.
-LEGS = [(0, 0), (58, 115), (81, 32), (5, 6), (64, 100), (90, 50), (92, 78), (20, 356), (119, 187), (117, 166)]
+TRACK = "iot_id long, thing_id long, t long, longitude double, latitude double"
 
 
-def track(spark, squeeze=None):
-    lon, lat, rows = 3.184, 51.371, []
-    for i, (metres, heading) in enumerate(LEGS):
-        lat2 = lat + np.degrees(metres * np.cos(np.radians(heading)) / 6371008.8)
-        lon += np.degrees(metres * np.sin(np.radians(heading)) / 6371008.8) / np.cos(np.radians((lat + lat2) / 2))
-        lat = lat2
-        rows.append((i, 0, i * 2 * S, float(lon), float(lat)))
-    if squeeze is not None:  # the next row follows a microsecond later
-        i, th, _, x, y = rows[squeeze + 1]
-        rows[squeeze + 1] = (i, th, rows[squeeze][2] + 1, x, y)
-    return checks.with_kinematics(spark.createDataFrame(rows, "iot_id long, thing_id long, t long, longitude double, latitude double"), "thing_id")
+@pytest.mark.parametrize("seed", range(4))
+def test_spatial_outlier_equals_brute_force(spark, seed):
+    rows, half, speed = drawn_track(seed), 120 * S, 40.0
+    want = set()
+    for i, _, t, x, y in rows:
+        near = [r for r in rows if abs(r[2] - t) <= half]
+        span = (max(r[2] for r in near) - min(r[2] for r in near)) / S
+        if metres(x, y, np.median([r[3] for r in near]), np.median([r[4] for r in near])) > speed * span:
+            want.add(i)
+    got = by_id(checks.with_spatial_outlier(spark.createDataFrame(rows, TRACK), speed, "4min", "thing_id"), "spatial_outlier")
+    assert want and {i for i, x in got.items() if x} == want
 
 
-def test_velocity(spark):
-    v = by_id(track(spark), "velocity")
-    assert np.allclose([v[i] for i in range(9)], [m / 2 for m, _ in LEGS[1:]], rtol=5e-3) and v[9] == v[8]
-    assert not any(by_id(track(spark).withColumn("b", checks.exceeds("velocity", 90)), "b").values())
-    assert all(by_id(track(spark).withColumn("b", checks.exceeds("velocity", 0)), "b").values())
-    fast = by_id(track(spark, 3).withColumn("b", checks.exceeds("velocity", 90)), "b")
-    assert [i for i, x in fast.items() if x] == [3]
+def moved(rows):
+    """Velocity and acceleration to the next row, the last ones repeated."""
+    v = [metres(*a[3:], *b[3:]) / ((b[2] - a[2]) / S) for a, b in zip(rows, rows[1:])]
+    v = np.array([*v, v[-1]])
+    a = [(v[i + 1] - v[i]) / ((rows[i + 1][2] - rows[i][2]) / S) for i in range(len(rows) - 1)]
+    return v, np.array([*a, a[-1]])
 
 
-@pytest.mark.parametrize("i", [1, 2, 3, 4, 5, 6])
-def test_acceleration(spark, i):
-    got = by_id(track(spark, i).withColumn("b", checks.exceeds("acceleration", 25)), "b")
-    assert sorted(k for k, x in got.items() if x) == [i - 1, i]
+@pytest.mark.parametrize("seed", range(3))
+def test_kinematics_equal_brute_force(spark, seed):
+    rows = drawn_track(seed)
+    v, a = moved(rows)
+    df = checks.with_kinematics(spark.createDataFrame(rows, TRACK), "thing_id")
+    got = by_id(df, "velocity", "acceleration")
+    assert np.allclose([got[i] for i in range(len(rows))], np.stack([v, a], 1), rtol=1e-6, atol=1e-9)
+    limit = float(np.median(v))
+    assert {i for i, x in by_id(df.withColumn("b", checks.exceeds("velocity", limit)), "b").items() if x} == set(np.nonzero(v > limit)[0])
+    limit = float(np.median(np.abs(a)))
+    assert {i for i, x in by_id(df.withColumn("b", checks.exceeds("acceleration", limit)), "b").items() if x} == set(np.nonzero(np.abs(a) > limit)[0])
+
+
+def test_kinematics_pass_over_rows(spark):
+    rows = drawn_track(7)
+    out = {2, 9, len(rows) - 1}
+    kept = [r for r in rows if r[0] not in out]
+    v, a = moved(kept)
+    got = by_id(checks.with_kinematics(spark.createDataFrame(rows, TRACK), "thing_id", leave_out=F.col("iot_id").isin(*out)), "velocity", "acceleration")
+    assert all(got[i] == (None, None) for i in out)
+    assert np.allclose([got[r[0]] for r in kept], np.stack([v, a], 1), rtol=1e-6, atol=1e-9)
+
+
+def up_and_down(rows, low, high, allowed, needed):
+    """iot_id -> BAD or NO_QC, by walking over the rows (iot_id, t, result) of one series."""
+    out, since, last_up = {}, None, None
+    for i, t, x in sorted(rows, key=lambda r: (r[1], r[0])):
+        first = since is None
+        if first or low < x < high:
+            last_up = t
+        if first or t - last_up > allowed:
+            since = t
+        out[i] = flags.BAD if t - since < needed else flags.NO_QC
+    return out
 
 
-def test_stabilisation(spark):
-    h = 3600 * S
-    df = spark.createDataFrame([(i, 1, i * h, float(i + 1), 1.0, 6.0, h, 2 * h) for i in range(5)], "iot_id long, datastream_id long, t long, result double, low double, high double, max_downtime long, dt_stabilization long")
-    got = by_id(checks.with_stabilisation(df, "datastream_id"), "within_limits", "time_up_since", "block_id", "stabilisation_flag")
-    assert [got[i] for i in range(5)] == [(False, 0, 1, 4), (True, h, 2, 4), (True, 2 * h, 2, 0), (True, 3 * h, 2, 0), (True, 4 * h, 2, 0)]
+@pytest.mark.parametrize("seed", range(3))
+def test_stabilisation_equals_a_walk(spark, seed):
+    rng = np.random.default_rng(seed)
+    rows = [(i, int(t), float(x)) for i, (t, x) in enumerate(zip(np.cumsum(rng.integers(1, 9, 60)) * 60 * S, rng.uniform(0, 10, 60)))]
+    low, high, allowed, needed = 1.5, 8.0, 11 * 60 * S, 47 * 60 * S
+    df = spark.createDataFrame([(i, 1, t, x, low, high, allowed, needed) for i, t, x in rows], "iot_id long, datastream_id long, t long, result double, low double, high double, max_downtime long, dt_stabilization long")
+    got = by_id(checks.with_stabilisation(df, "datastream_id"), "stabilisation_flag", "within_limits", "block_id")
+    assert {i: g[0] for i, g in got.items()} == up_and_down(rows, low, high, allowed, needed)
+    inside = [low < x < high for _, _, x in rows]
+    assert [got[i][1] for i in range(60)] == inside
+    assert [got[i][2] for i in range(60)] == (1 + np.cumsum([False, *(a != b for a, b in zip(inside, inside[1:]))])).tolist()
 
 
 RULE = dependent.Rule(0, (1,), "0.5s", range=(0.0, 10.0))
 
 
-@pytest.mark.parametrize("i", range(5))
-def test_dependent_takes_a_bad_flag(spark, i):
-    df = table(spark, at={(i, "qc_flag"): flags.BAD})
+def test_dependent_takes_a_bad_flag(spark):
+    df = table(spark, {(i, "qc_flag"): flags.BAD for i in (1, 4)})
     got = by_id(joins.combine_max(df, dependent.base(df, RULE)), "qc_flag")
-    assert {k for k, f in got.items() if f == flags.BAD} == {i, i + 5}
+    assert {k for k, f in got.items() if f == flags.BAD} == {1, 4, HALF + 1, HALF + 4}
 
 
 def test_good_flags_are_not_copied(spark):
-    df = table(spark, at={(0, "qc_flag"): flags.GOOD, (1, "qc_flag"): flags.PROBABLY_BAD})
+    df = table(spark, {(2, "qc_flag"): flags.GOOD, (5, "qc_flag"): flags.PROBABLY_BAD})
     got = by_id(dependent.base(df, RULE), "qc_flag")
-    assert got[5] == flags.NO_QC and got[6] == flags.PROBABLY_BAD
+    assert got[HALF + 2] == flags.NO_QC and got[HALF + 5] == flags.PROBABLY_BAD
 
 
-@pytest.mark.parametrize("missing,expected", [(flags.BAD, {6}), (None, set())])
+@pytest.mark.parametrize("missing,expected", [(flags.BAD, {HALF + 3}), (flags.PROBABLY_BAD, {HALF + 3}), (None, set())])
 def test_dependent_without_independent(spark, missing, expected):
     rule = dependent.Rule(0, (1,), "0.5s", flag_when_missing=missing)
-    for df in (table(spark, without=(1,)), table(spark, at={(1, "t"): 86_400 * S})):
+    for df in (table(spark, without=(3,)), table(spark, {(3, "t"): 9_000 * S})):
         got = by_id(joins.combine_max(df, dependent.base(df, rule)), "qc_flag")
-        assert {k for k, f in got.items() if f} == expected
+        assert {k for k, f in got.items() if f} == expected and all(got[k] == missing for k in expected)
 
 
 def test_independent_without_dependent(spark):
-    df = table(spark, at={(1, "qc_flag"): flags.BAD}, without=(6,))
+    df = table(spark, {(2, "qc_flag"): flags.BAD}, without=(HALF + 2,))
     got = by_id(joins.combine_max(df, dependent.base(df, RULE)), "qc_flag")
-    assert {k for k, f in got.items() if f} == {1}
+    assert {k for k, f in got.items() if f} == {2}
 
 
 def test_secondary(spark):
-    df = table(spark, at={(3, "result"): 100.0}, without=(1,))
+    df = table(spark, {(4, "result"): 41.5, (0, "result"): 0.0, (5, "result"): 10.0}, without=(1,))
     got = by_id(joins.combine_max(df, dependent.secondary(df, RULE)), "qc_flag")
-    assert {k for k, f in got.items() if f} == {8}  # the lower bound is inside; a missing independent says nothing
+    assert {k for k, f in got.items() if f} == {HALF + 4}  # the bounds are inside; a missing independent says nothing
 
 
 def test_rules_see_earlier_rules(spark):
@@ -170,6 +212,75 @@ def test_rules_see_earlier_rules(spark):
     assert dependent.Rule.ids("7,8, 9") == (7, 8, 9) and dependent.Rule.ids(7) == (7,)
 
 
+#: Ten rules over fourteen series: independent, dependent, range, stabilisation. Some independent series depend on others.
+TEN = [
+    (1, (2, 3), (2.0, 8.0), None), (4, (5, 6, 7), (1.0, 9.0), "20s"), (8, (9, 10), (1.0, 9.0), "30s"), (11, (2, 3, 12, 13), (3.0, 9.5), None), (14, (12, 13), (0.5, 9.0), None),
+    (14, (2,), (0.5, 8.5), "45s"), (5, (7,), (1.0, 9.0), None), (6, (7,), (2.0, 9.0), None), (9, (10,), (1.0, 8.0), None), (12, (13,), (0.0, 7.0), None),
+]
+
+
+def ten_rules():
+    return [dependent.Rule(i, d, "2s", r, s, "8s" if s else None, flags.PROBABLY_BAD) for i, d, r, s in TEN]
+
+
+def observations(seed=3, n=40):
+    """(iot_id, datastream_id, thing_id, t, result, qc_flag) of fourteen series of two things."""
+    rng, rows = np.random.default_rng(seed), []
+    for thing in (1, 2):
+        for d in range(1, 15):
+            for t in np.cumsum(rng.integers(1, 6, n)):
+                rows.append((len(rows), d, thing, int(t) * S, float(rng.uniform(0, 10)), int(rng.choice([0, 0, 1, 2, 4]))))
+    return rows
+
+
+def walked(rows, rules):
+    """The flags after stabilisation and all rules, rule after rule and row after row."""
+    state = {r[0]: r[5] for r in rows}
+    of = lambda thing, d: [r for r in rows if r[1] == d and r[2] == thing]
+
+    def apply(rule, secondary):
+        new = {}
+        for thing in (1, 2):
+            independent = of(thing, rule.independent)
+            for r in (x for d in rule.dependent for x in of(thing, d)):
+                near = min(((abs(q[3] - r[3]), q[3], q[0], q) for q in independent if abs(q[3] - r[3]) <= 2 * S), default=None)
+                f = (rule.flag_when_missing or 0) if near is None else state[near[2]] if state[near[2]] > flags.GOOD else 0
+                if secondary and near and not rule.range[0] <= near[3][4] <= rule.range[1]:
+                    f = flags.BAD
+                new[r[0]] = max(f, new.get(r[0], 0))
+        for i, f in new.items():
+            state[i] = max(state[i], f)
+
+    for rule in rules:
+        if rule.stabilisation:
+            for thing in (1, 2):
+                for i, f in up_and_down([(r[0], r[3], r[4]) for r in of(thing, rule.independent)], *rule.range, 8 * S, int(rule.stabilisation[:-1]) * S).items():
+                    state[i] = max(state[i], f)
+            apply(dependent.Rule(rule.independent, rule.dependent, flag_when_missing=None), False)
+    for rule in rules:
+        apply(rule, True)
+    return state
+
+
+def test_ten_rules_equal_a_walk(spark):
+    rows, rules = observations(), ten_rules()
+    df = spark.createDataFrame(rows, "iot_id long, datastream_id long, thing_id long, t long, result double, qc_flag int")
+    out = dependent.apply_rules(dependent.stabilised(df, rules, within=["thing_id"]), rules, within=["thing_id"])
+    assert by_id(out, "qc_flag") == walked(rows, rules)
+
+
+def test_plans_grow_with_layers_at_most(spark):
+    """However many rules a layer has, its plan reads the table as often."""
+
+    def scans(n):
+        df = spark.createDataFrame(observations(n=2), "iot_id long, datastream_id long, thing_id long, t long, result double, qc_flag int")
+        rules = [dependent.Rule(1, (2 + i % 12,), "2s", (1.0, 5.0), "9s", "3s") for i in range(n)]
+        out = dependent.apply_rules(dependent.stabilised(df, rules), rules)
+        return str(out._jdf.queryExecution().executedPlan()).count("Scan")
+
+    assert scans(1) == scans(12) <= 6  # the table and its state, each twice, and the rules
+
+
 def test_nearest_in_time_equals_pandas(spark):
     import pandas as pd
 
@@ -185,9 +296,32 @@ def test_nearest_in_time_equals_pandas(spark):
 
 
 def test_regions(spark):
-    df = spark.createDataFrame([(0, "NORTH SEA"), (1, "MAINLAND EUROPE"), (2, "MAINLAND random"), (3, None), (4, "NaN")], "iot_id long, region string")
-    assert list(by_id(df.withColumn("b", checks.region_missing()), "b").values()) == [False, False, False, True, True]
-    assert list(by_id(df.withColumn("b", checks.region_on_land()), "b").values()) == [False, True, True, False, False]
+    df = spark.createDataFrame([(0, "GULF"), (1, "Mainland"), (2, "the mainland, north"), (3, None), (4, "nan")], "iot_id long, region string")
+    assert by_id(df.withColumn("b", checks.region_missing()), "b") == {0: False, 1: False, 2: False, 3: True, 4: True}
+    assert by_id(df.withColumn("b", checks.region_on_land()), "b") == {0: False, 1: True, 2: True, 3: False, 4: False}
+
+
+@pytest.mark.parametrize("cell", [0.3, 1.0, 25.0])
+def test_polygons_equal_ray_casting(spark, cell):
+    """Rings with holes, shared names and corners on the sides of cells; points on a grid."""
+    rng = np.random.default_rng(2)
+
+    def ring(x, y, size, n):
+        a, r = np.sort(rng.uniform(0, 2 * np.pi, n)), rng.uniform(0.4, 1, n) * size
+        return [(float(x + q * np.cos(p)), float(y + q * np.sin(p))) for p, q in zip(a, r)]
+
+    shapes = [("b", [ring(1, 1, 3, 40), ring(1, 1, 0.4, 9)]), ("a", [ring(3, 2, 2, 25)]), ("a", [[(-1.0, -1.0), (2.0, -1.0), (2.0, 2.0), (-1.0, 2.0)]]), ("c", [[(0.0, 0.0), (4.0, 0.0), (4.0, 4.0)]])]
+    rows = [(name, [(*r[i], *r[(i + 1) % len(r)]) for r in rings for i in range(len(r))]) for name, rings in shapes]
+    polygons = spark.createDataFrame(rows, "region string, edges array<struct<x1:double,y1:double,x2:double,y2:double>>")
+    points = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(-3, 6, (400, 2)))] + [(1000 + i, None, 1.0) for i in range(2)]
+
+    def holds(edges, x, y):
+        return sum((b > y) != (d > y) and x < a + (y - b) * (c - a) / (d - b) for a, b, c, d in edges) % 2 == 1
+
+    want = {i: None if x is None else min((name for name, e in rows if holds(e, x, y)), default=None) for i, x, y in points}
+    df = spark.createDataFrame(points, "iot_id long, longitude double, latitude double")
+    assert by_id(joins.in_polygons(df, polygons, cell), "region") == want
+    assert joins.in_polygons(df, polygons.limit(0)).where("region IS NOT NULL").count() == 0
 
 
 def test_empty_tables(spark):

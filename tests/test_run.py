@@ -32,7 +32,43 @@ def test_command_line(spark, tmp_path):
     want = {100 + i: "BAD" if i > 50 or i <= 10 else "PROBABLY_GOOD" for i in inside} | {200 + i: "BAD" if i > 50 else "PROBABLY_GOOD" for i in inside}
     assert got == want
     assert run.main([str(tmp_path / "s.yaml"), "--observations", str(tmp_path / "in"), "--out", str(tmp_path / "r"), "reset.observation_flags=true", "reset.exit=true"], spark) == 0
-    assert spark.read.text(str(tmp_path / "r/reset_observations")).count() == 240 and not (tmp_path / "r/observations").exists()
+    assert spark.read.text(str(tmp_path / "r/reset_observations")).count() == 98 and not (tmp_path / "r/observations").exists()  # the rows of the range
+    steps = {x["iot_id"]: [s["label"] for s in x["steps"]] for x in (json.loads(r.value) for r in spark.read.text(str(tmp_path / "false/history")).collect())}
+    assert set(steps) == {*(100 + i for i in inside), *(200 + i for i in range(51, 60))} | {200 + i for i in inside} and steps[155] == ["Range"]
+
+
+def test_reset_keeps_flags(spark, tmp_path):
+    """A row that was BAD and is found BAD again is BAD in the end; rows outside the run are left alone."""
+    rows = [(100 * d + i, 7, d, BASE + i * S, float(i), i % 3, flags.BAD if i > 40 else flags.GOOD) for d in (1, 2, 3) for i in range(80)]
+    spark.createDataFrame(rows, "iot_id long, thing_id long, datastream_id long, t long, result double, feature_id long, qc_flag int").write.parquet(str(tmp_path / "in"))
+    (tmp_path / "s.yaml").write_text(TEXT.replace("DRY", "false").replace("QC_dependent", "#"))
+    assert run.main([str(tmp_path / "s.yaml"), "--observations", str(tmp_path / "in"), "--out", str(tmp_path / "o"), "reset.observation_flags=true"], spark) == 0
+    store = {r[0]: flags.NAMES[r[6]] for r in rows}
+    for name in ("reset_observations", "observations"):
+        for r in spark.read.text(str(tmp_path / "o" / name)).collect():
+            p = json.loads(r.value)
+            store[int(p["id"])] = p["body"]["resultQuality"]
+    for i, _, d, t, x, _, before in rows:
+        inside = d in (1, 2) and 10 < (t - BASE) // S < 60
+        assert store[i] == (flags.NAMES[before] if not inside else ("BAD" if x > 50 else "PROBABLY_GOOD") if d == 1 else "NO_QUALITY_CONTROL")
+
+
+def test_nothing_to_do(spark, tmp_path):
+    spark.createDataFrame([], "iot_id long, thing_id long, datastream_id long, t long, result double, feature_id long").write.parquet(str(tmp_path / "in"))
+    (tmp_path / "s.yaml").write_text(TEXT.replace("DRY", "false"))
+    assert run.main([str(tmp_path / "s.yaml"), "--observations", str(tmp_path / "in"), "--out", str(tmp_path / "o")], spark) == 0
+    assert not (tmp_path / "o").exists()
+
+
+def test_places_from_settings(spark, tmp_path):
+    square(spark, "MAINLAND", 0, 0, 2).write.parquet(str(tmp_path / "regions"))
+    spark.createDataFrame([(5.1, 5.1, 7.0), (5.2, 5.2, 3.0)], "longitude double, latitude double, elevation double").write.parquet(str(tmp_path / "grid"))
+    rows = [(0, 1, 1, BASE, 1.0, 1.0, 1.0), (1, 1, 1, BASE + S, 1.0, 5.15, 5.15), (2, 1, 1, BASE + 2 * S, 1.0, 9.0, 9.0)]
+    spark.createDataFrame(rows, "iot_id long, thing_id long, datastream_id long, t long, result double, longitude double, latitude double").write.parquet(str(tmp_path / "in"))
+    (tmp_path / "s.yaml").write_text(f"data_api: {{dry_run: false}}\nplaces: {{regions: {tmp_path}/regions, grid: {tmp_path}/grid, grid_step: 0.5}}\n")
+    assert run.main([str(tmp_path / "s.yaml"), "--observations", str(tmp_path / "in"), "--out", str(tmp_path / "o")], spark) == 0
+    got = {x["iot_id"]: [s["label"] for s in x["steps"]] for x in (json.loads(r.value) for r in spark.read.text(str(tmp_path / "o/history")).collect())}
+    assert got == {0: ["Region mainland"], 1: ["Region nan", "Depth"], 2: ["Region nan"]}
 
 
 def square(spark, name, x, y, size):

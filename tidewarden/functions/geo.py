@@ -1,4 +1,4 @@
-"""Geometry on a sphere and in polygons, as column expressions."""
+"""Geometry on a sphere, as column expressions."""
 
 from __future__ import annotations
 
@@ -14,18 +14,3 @@ def haversine(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
     p1, p2 = F.radians(lat1), F.radians(lat2)
     a = F.pow(F.sin((p2 - p1) / 2), F.lit(2.0)) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), F.lit(2.0))
     return F.lit(2 * RADIUS) * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
-
-
-def crossings(lon: Column, lat: Column, edges: Column) -> Column:
-    """How many of the edges (x1, y1, x2, y2) a ray to the east of the point crosses."""
-
-    def crossed(e: Column) -> Column:
-        spans = (e["y1"] > lat) != (e["y2"] > lat)
-        x = e["x1"] + F.try_divide((lat - e["y1"]) * (e["x2"] - e["x1"]), e["y2"] - e["y1"])
-        return spans & (lon < x)
-
-    return F.size(F.filter(edges, crossed))
-
-
-def inside(lon: Column, lat: Column, edges: Column) -> Column:
-    return crossings(lon, lat, edges) % 2 == 1

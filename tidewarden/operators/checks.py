@@ -27,7 +27,33 @@ class Check:
         return flags.from_bool(self.condition(), self.on_true, self.on_false, self.on_nan)
 
     def execute(self, df: DataFrame, column: str = "qc_flag") -> DataFrame:
-        return df.withColumn(column, self.merge(column, self.flag()))
+        return df.withColumns({column: self.merge(column, self.flag())} | recorded(df, self.label, self.flag()))
+
+
+def recorded(df: DataFrame, label: str, flag: Column) -> dict[str, Column]:
+    """The column ``history`` with one more step where the flag is set; nothing for tables that don't keep one."""
+    if "history" not in df.columns:
+        return {}
+    step = F.array(F.struct(F.lit(label).alias("label"), flag.cast("int").alias("flag")))
+    return {"history": F.when(flag != flags.NO_QC, F.concat("history", step)).otherwise(F.col("history"))}
+
+
+def with_history(df: DataFrame) -> DataFrame:
+    """df with an empty ``history``, to which every check adds its flag."""
+    return df.withColumn("history", F.array().cast("array<struct<label:string,flag:int>>"))
+
+
+def raised(df: DataFrame, label: str, change: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The changed table; where its flag rose, the history has a step for it."""
+    if "history" not in df.columns:
+        return change(df)
+    out = change(df.withColumn("_before", F.coalesce("qc_flag", F.lit(flags.NO_QC))))
+    return out.withColumns(recorded(out, label, F.when(F.col("qc_flag") > F.col("_before"), F.col("qc_flag")).otherwise(F.lit(flags.NO_QC)))).drop("_before")
+
+
+def history_rows(df: DataFrame, key: str = "iot_id") -> DataFrame:
+    """(key, step, label, flag) of the column ``history``."""
+    return df.select(key, F.posexplode("history").alias("step", "s")).select(key, "step", "s.label", "s.flag")
 
 
 def history(df: DataFrame, checks: list[Check], key: str = "iot_id") -> DataFrame:
@@ -67,7 +93,8 @@ def with_gradient(df: DataFrame, *keys: str, value: str = "result") -> DataFrame
 def with_zscore(df: DataFrame, width: str | int, *keys: str, kind: str = "mean_std", value: str = "result", eligible: Column | None = None) -> DataFrame:
     """Adds ``zscore`` over the trailing time window; rows that aren't eligible get none and don't count in it.
 
-    kind: ``mean_std``, or ``modified`` (median and median absolute deviation).
+    kind: ``mean_std``, or ``modified`` (median and median absolute deviation). The second needs the values themselves: a
+    row holds its window's values while it is scored, so that a task needs rows x values of a window at once, 8 bytes each.
     """
     ok = F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False))
     v = F.when(ok, F.col(value))
@@ -102,10 +129,16 @@ def with_spatial_outlier(df: DataFrame, max_speed: float, width: str | int, *key
     return df.withColumn("spatial_outlier", far).drop("_lon", "_lat", "_span")
 
 
-def with_kinematics(df: DataFrame, *keys: str) -> DataFrame:
-    """Adds dt (s), velocity (m/s) and acceleration (m/s2) to the next row; the last rows repeat what came before."""
+def with_kinematics(df: DataFrame, *keys: str, leave_out: Column | None = None) -> DataFrame:
+    """Adds dt (s), velocity (m/s) and acceleration (m/s2) to the next row; the last rows repeat what came before.
+
+    Rows where leave_out is true get none and are passed over, as if they weren't there.
+    """
     from ..functions.geo import haversine
 
+    if leave_out is not None:
+        df = with_kinematics(df.withColumn("_out", F.coalesce(leave_out, F.lit(False))), *keys, "_out")
+        return df.withColumns({c: F.when(~F.col("_out"), F.col(c)) for c in ("dt", "velocity", "acceleration")}).drop("_out")
     w, run = series.ordered(*keys), series.running(*keys)
     to_next = haversine(F.col("longitude"), F.col("latitude"), F.lead("longitude").over(w), F.lead("latitude").over(w))
     df = df.withColumn("dt", series.seconds(F.lead("t").over(w) - F.col("t")))

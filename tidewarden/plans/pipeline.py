@@ -1,6 +1,7 @@
 """The whole quality control of a table of observations, as one plan.
 
-Order: stabilisation and what depends on it, place checks, range, gradient, z-score, dependent rules. Windows are
+The table is evaluated once up to the stabilisation and once up to the dependent rules, where it is written into the shared
+folder; all rules together read it from there. Order: stabilisation and what depends on it, place checks, range, gradient, z-score, dependent rules. Windows are
 partitioned by series or by thing, bounds are a small joined table, and nothing is collected.
 """
 
@@ -34,30 +35,18 @@ def bounds_table(df: DataFrame, settings: Settings, key: str) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, f"{key} long, {', '.join(cols)}")
 
 
-def stabilised(df: DataFrame, settings: Settings, key: str, within: list[str]) -> DataFrame:
-    """Flags of independent series that haven't been up for long enough, and of the series that depend on them."""
-    for rule in dependent.stabilisation_rules(settings.rules):
-        if not rule.range:
-            continue
-        one = df.where(F.col(key) == rule.independent).select("iot_id", "t", "result", key, *within)
-        one = one.withColumns({
-            "low": F.lit(rule.range[0]), "high": F.lit(rule.range[1]), "max_downtime": F.lit(to_micros(rule.max_downtime or 0)), "dt_stabilization": F.lit(to_micros(rule.stabilisation)),
-        })
-        state = checks.with_stabilisation(one, *dict.fromkeys([*within, key])).select("iot_id", F.col("stabilisation_flag").alias("qc_flag"))
-        df = joins.combine_max(df, state)
-        quiet = dependent.Rule(rule.independent, rule.dependent, rule.tolerance, flag_when_missing=None)
-        df = joins.combine_max(df, dependent.base(df, quiet, key, within))
-    return df
-
-
-def run(df: DataFrame, settings: Settings, key: str = "datastream_id", series: list[str] | None = None, thing: str = "thing_id", within: list[str] | None = None, apply_kinematics: bool = False, gradient_on: str = "gradient", places: Places | None = None) -> DataFrame:
+def run(df: DataFrame, settings: Settings, key: str = "datastream_id", series: list[str] | None = None, thing: str = "thing_id", within: list[str] | None = None, apply_kinematics: bool = False, gradient_on: str = "gradient", places: Places | None = None, keep_history: bool = False) -> DataFrame:
     """df: observations (see OBSERVATION). key: what bounds and rules are stated for; series: keys of one time series
-    (default: key); within: keys that rules match inside of, such as the thing; places: reference tables of place checks."""
+    (default: key); within: keys that rules match inside of, such as the thing; places: reference tables of place checks;
+    keep_history: add ``history``, the checks that flagged the row, in order."""
     places = places or Places()
     series, within = series or [key], within or []
     if settings.reset_flags:
         df = df.withColumns({"qc_flag": F.lit(flags.NO_QC), "feature_qc_flag": F.lit(flags.NO_QC)})
-    df = stabilised(df, settings, key, within)
+    if keep_history:
+        df = checks.with_history(df)
+    if any(r.stabilisation and r.range for r in settings.rules):
+        df = checks.raised(df, "Stabilisation", lambda d: dependent.stabilised(d, settings.rules, key, within))
     if places.regions is not None:
         df = joins.in_polygons(df.drop("region"), places.regions)
     if "region" in df.columns:
@@ -77,7 +66,7 @@ def run(df: DataFrame, settings: Settings, key: str = "datastream_id", series: l
         df = checks.Check("Spatial outlier", lambda: F.col("spatial_outlier"), on_nan=flags.PROBABLY_GOOD).execute(df, "feature_qc_flag")
         df = df.withColumn("qc_flag", flags.merge("qc_flag", "feature_qc_flag"))
         if apply_kinematics:
-            df = checks.with_kinematics(df, thing)
+            df = checks.with_kinematics(df, thing, leave_out=F.col("spatial_outlier"))
             df = checks.Check("Velocity", lambda: checks.exceeds("velocity", settings.max_speed)).execute(df)
             df = checks.Check("Acceleration", lambda: checks.exceeds("acceleration", settings.max_acceleration or 1e12)).execute(df)
     df = checks.with_bounds(df, bounds_table(df, settings, key), key)
@@ -89,9 +78,21 @@ def run(df: DataFrame, settings: Settings, key: str = "datastream_id", series: l
     if settings.zscore_window:
         df = checks.with_zscore(df, settings.zscore_window, *series, eligible=F.col("qc_flag") <= flags.PROBABLY_GOOD)
         df = checks.Check("Z-score", lambda: checks.out_of_range("zscore", "qc_zscore_min", "qc_zscore_max"), **good).execute(df)
-    return dependent.apply_rules(df, settings.rules, key, within) if settings.rules else df
+    return checks.raised(df, "Dependent", lambda d: dependent.apply_rules(d, settings.rules, key, within)) if settings.rules else df
+
+
+#: Rows of a series are taken to be no further apart, so that a run's first row has its neighbour for the gradient.
+NEIGHBOUR = "50min"
+
 
+def needed_before(settings: Settings, neighbour: str = NEIGHBOUR) -> int:
+    """Microseconds before a window that a run must read so that its rows come out as in a run over everything.
 
-def needed_before(settings: Settings) -> int:
-    """Microseconds before a window that a run must read so that its rows come out as in a run over everything."""
-    return checks.lookback(*[x for x in (settings.zscore_window, settings.location_window, *[r.stabilisation for r in settings.rules], *[r.tolerance for r in settings.rules]) if x])
+    A row's own windows look back by the longest of them, the z-score's rows and gradients by a neighbour more; a dependent
+    row looks at an independent one within the tolerance, layer after layer; stabilisation at the time up and the downtime
+    before it. A gap between rows longer than ``neighbour``, or an outage that began before all this, is not seen.
+    """
+    windows = [to_micros(x) for x in (settings.zscore_window, settings.location_window) if x]
+    stable = [to_micros(r.stabilisation) + to_micros(r.max_downtime or 0) for r in settings.rules if r.stabilisation]
+    chain = sum(max(to_micros(r.tolerance) for r in layer) for layer in dependent.layers(settings.rules))
+    return max([0, *windows, *stable]) + chain + to_micros(neighbour)

@@ -76,6 +76,7 @@ SHAPE = {
     "reset": {"overwrite_flags": BOOL, "overwrite_feature_flags": BOOL, "observation_flags": BOOL, "feature_flags": BOOL, "exit": BOOL},
     "other": MAP,
     "location": {"connection": MAP, "crs": TEXT, "time_window": DURATION, "max_dx_dt": NUMBER, "max_ddx_dtdt": NUMBER},
+    "places": {"regions": TEXT, "land": TEXT, "grid": TEXT, "grid_step": NUMBER, "max_elevation": NUMBER},
     "QC_dependent": [{"independent": NUMBER, "dependent": IDS, "dt_tolerance": DURATION, "dt_stabilization": DURATION, "max_allowed_downtime": DURATION, "QC": _range}],
     "QC": [{"id": NUMBER} | _range],
     "QC_global": {"zscore": {"time_window": DURATION, "range": PAIR}, "range": {"range": PAIR}, "gradient": {"range": PAIR}},

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import flags, geo
+from .functions.durations import to_micros
 from .operators import checks, dependent, joins, report, transfer
 from .plans import pipeline
 from .plans.settings import Settings
-from .sources import sinks
-from .sources.schema import STREAMS, from_events, region_name
+from .sources import entities, sinks
+from .sources.schema import RESPONSE, STREAMS, from_events, region_name
 from .streaming import incremental
 
 DAY = 86_400_000_000
@@ -241,6 +242,65 @@ def dependent_rules(spark, sf_dir):
     return dependent.apply_rules(_ranged(spark, sf_dir), [RULE], "stream", ["thing_id"]).select("iot_id", "qc_flag")
 
 
+def _near_sql(name: str, rule: dependent.Rule, source: str, flag: str = "q") -> str:
+    """CTE ``name`` (iot_id, iq, ir, missing): the rule's dependent rows and what stands nearest."""
+    dep, tol = ", ".join(map(str, rule.dependent)), to_micros(rule.tolerance)
+    return f"""{name}p AS (SELECT d.iot_id, i.{flag} AS iq, i.result AS ir, row_number() OVER (PARTITION BY d.iot_id ORDER BY abs(d.t - i.t), i.t, i.iot_id) AS rn
+  FROM {source} d JOIN {source} i ON d.thing_id = i.thing_id AND abs(d.t - i.t) <= {tol} WHERE d.stream IN ({dep}) AND i.stream = {rule.independent}),
+{name} AS (SELECT d.iot_id, iq, ir, p.iot_id IS NULL AS missing FROM {source} d LEFT JOIN {name}p p ON p.iot_id = d.iot_id AND p.rn = 1 WHERE d.stream IN ({dep}))"""
+
+
+def _flag_sql(rule: dependent.Rule) -> str:
+    """The rule's flag of a row of ``_near_sql``."""
+    range_ = f"WHEN ir < {rule.range[0]} OR ir > {rule.range[1]} THEN 4" if rule.range else ""
+    return f"CASE WHEN missing THEN {rule.flag_when_missing or 0} {range_} WHEN iq <= 1 THEN 0 ELSE iq END"
+
+
+CHAIN = [dependent.Rule(1, (2,), "6h", range=(5.0, 100.0)), dependent.Rule(2, (3,), "4h", flag_when_missing=None), dependent.Rule(3, (4, 5), "8h", range=(2.0, 150.0), flag_when_missing=flags.PROBABLY_BAD)]
+
+
+def _chain_sql() -> str:
+    out, at = f", {BOUNDS}, r0 AS (SELECT *, {RANGE_FLAG} AS q FROM obs LEFT JOIN bounds USING (stream))", "r0"
+    for i, rule in enumerate(CHAIN):
+        out += f", {_near_sql(f'n{i}', rule, at)}, r{i + 1} AS (SELECT {at}.* REPLACE (greatest(q, coalesce({_flag_sql(rule)}, 0)) AS q) FROM {at} LEFT JOIN n{i} USING (iot_id))"
+        at = f"r{i + 1}"
+    return out + f" SELECT iot_id, q AS qc_flag FROM {at}"
+
+
+@query(_chain_sql())
+def rule_chain(spark, sf_dir):
+    """Three layers: each rule reads what the one before it has written."""
+    return dependent.apply_rules(_ranged(spark, sf_dir), CHAIN, "stream", ["thing_id"]).select("iot_id", "qc_flag")
+
+
+STABLE = [
+    dependent.Rule(1, (2,), "6h", (20.0, 200.0), "1d", "12h"),
+    dependent.Rule(3, (4,), "9h", (15.0, 220.0), "12h", "6h"),
+    dependent.Rule(1, (5,), "6h", (30.0, 180.0), "2d", "12h"),
+]
+
+
+def _stable_sql() -> str:
+    out = ""
+    for i, r in enumerate(STABLE):
+        ok, run = f"(result > {r.range[0]} AND result < {r.range[1]})", "PARTITION BY thing_id ORDER BY t, iot_id"
+        out += f""", a{i} AS (SELECT *, {ok} AS ok, t - first_value(t) OVER w AS el, row_number() OVER w AS rn FROM obs WHERE stream = {r.independent} WINDOW w AS ({run})),
+b{i} AS (SELECT *, el - last_value(CASE WHEN rn = 1 THEN 0 WHEN ok THEN el END IGNORE NULLS) OVER u AS down FROM a{i} WINDOW u AS ({run} ROWS UNBOUNDED PRECEDING)),
+c{i} AS (SELECT *, el - last_value(CASE WHEN rn = 1 THEN 0 WHEN down > {to_micros(r.max_downtime)} THEN el END IGNORE NULLS) OVER u AS up FROM b{i} WINDOW u AS ({run} ROWS UNBOUNDED PRECEDING)),
+s{i} AS (SELECT iot_id, CASE WHEN up < {to_micros(r.stabilisation)} THEN 4 ELSE 0 END AS f FROM c{i})"""
+    seen = {0: "s0.f", 1: "s1.f", 2: "greatest(s0.f, s2.f)"}
+    out += ", o AS (SELECT obs.*, " + ", ".join(f"coalesce({e}, 0) AS q{i}" for i, e in seen.items()) + " FROM obs " + " ".join(f"LEFT JOIN s{i} ON s{i}.iot_id = obs.iot_id" for i in seen) + ")"
+    quiet = [dependent.Rule(r.independent, r.dependent, r.tolerance, flag_when_missing=None) for r in STABLE]
+    out += "".join(f", {_near_sql(f'n{i}', r, 'o', f'q{i}')}, m{i} AS (SELECT iot_id, {_flag_sql(r)} AS f FROM n{i})" for i, r in enumerate(quiet))
+    return out + " SELECT o.iot_id, greatest(q0, q1, q2, coalesce(m0.f, 0), coalesce(m1.f, 0), coalesce(m2.f, 0)) AS qc_flag FROM o " + " ".join(f"LEFT JOIN m{i} ON m{i}.iot_id = o.iot_id" for i in seen)
+
+
+@query(_stable_sql())
+def stabilised_dependents(spark, sf_dir):
+    """Stabilisation of two independent series, one of them by two rules, and what depends on them."""
+    return dependent.stabilised(from_events(spark, sf_dir), STABLE, "stream", ["thing_id"]).select("iot_id", "qc_flag")
+
+
 # trajectories and places
 
 HAV = "2 * 6371008.8 * asin(least(1.0, sqrt(pow(sin((radians({y2}) - radians({y1})) / 2), 2) + cos(radians({y1})) * cos(radians({y2})) * pow(sin(radians({x2} - {x1}) / 2), 2))))"
@@ -271,6 +331,19 @@ def acceleration(spark, sf_dir):
     return checks.with_kinematics(from_events(spark, sf_dir), "thing_id").select("iot_id", (F.round("acceleration", 6) + 0.0).alias("acceleration"))
 
 
+@query(
+    f""", m AS (SELECT *, quantile_cont(longitude, 0.5) OVER c AS mx, quantile_cont(latitude, 0.5) OVER c AS my, (max(t) OVER c - min(t) OVER c) / 1e6 AS span
+  FROM obs WINDOW c AS (PARTITION BY thing_id ORDER BY t RANGE BETWEEN {36 * HOUR} PRECEDING AND {36 * HOUR} FOLLOWING)),
+k AS (SELECT * FROM m WHERE NOT {HAV.format(x1="longitude", y1="latitude", x2="mx", y2="my")} > 0.8 * span)"""
+    + STEP.replace("FROM obs", "FROM k")
+    + " SELECT o.iot_id, round(velocity, 6) + 0.0 AS velocity, round(acceleration, 6) + 0.0 AS acceleration FROM obs o LEFT JOIN a USING (iot_id)"
+)
+def kinematics_without_outliers(spark, sf_dir):
+    df = checks.with_spatial_outlier(from_events(spark, sf_dir), 0.8, "3d", "thing_id")
+    df = checks.with_kinematics(df, "thing_id", leave_out=F.col("spatial_outlier"))
+    return df.select("iot_id", (F.round("velocity", 6) + 0.0).alias("velocity"), (F.round("acceleration", 6) + 0.0).alias("acceleration"))
+
+
 #: Invented land masses as rings of corners.
 LAND = {"A": [(2.15, 50.61), (3.05, 50.73), (2.85, 51.55), (2.25, 51.35)], "B": [(3.11, 50.91), (3.91, 51.01), (3.53, 51.39), (3.71, 52.17), (3.07, 51.87)]}
 
@@ -297,6 +370,31 @@ def polygon_land(spark, sf_dir):
     return checks.Check("Land", lambda: F.col("region").isNotNull()).execute(df, "feature_qc_flag").select("iot_id", "region", "feature_qc_flag")
 
 
+#: A border of very many edges: a circle whose radius swings with the angle.
+CORNERS = 100_000
+ANGLE = f"(2 * pi() * ({{i}}) / {CORNERS})"
+BORDER_X = "(2.9 + (0.7 + 0.2 * sin(31 * {a}) + 0.02 * sin(997 * {a})) * cos({a}))"
+BORDER_Y = "(51.4 + (0.7 + 0.2 * sin(31 * {a}) + 0.02 * sin(997 * {a})) * sin({a}))"
+
+
+def _border_sql(i: str, x: str, y: str) -> str:
+    a = ANGLE.format(i=i)
+    return f"{BORDER_X.format(a=a)} AS {x}, {BORDER_Y.format(a=a)} AS {y}"
+
+
+@query(
+    f""", e AS MATERIALIZED (SELECT {_border_sql("i", "x1", "y1")}, {_border_sql(f"(i + 1) % {CORNERS}", "x2", "y2")} FROM range(0, {CORNERS}) r(i)),
+c AS (SELECT iot_id FROM obs JOIN e ON latitude >= least(y1, y2) AND latitude < greatest(y1, y2) WHERE longitude < x1 + (latitude - y1) * (x2 - x1) / (y2 - y1) GROUP BY iot_id HAVING count(*) % 2 = 1)
+SELECT iot_id, CASE WHEN iot_id IN (SELECT iot_id FROM c) THEN 'swing' END AS region FROM obs"""
+)
+def polygon_many_edges(spark, sf_dir):
+    here, there = ANGLE.format(i="id"), ANGLE.format(i=f"(id + 1) % {CORNERS}")
+    corners = {"x1": BORDER_X.format(a=here), "y1": BORDER_Y.format(a=here), "x2": BORDER_X.format(a=there), "y2": BORDER_Y.format(a=there)}
+    e = spark.range(CORNERS).select(F.lit("swing").alias("region"), *[F.expr(f"CAST({x} AS DOUBLE)").alias(c) for c, x in corners.items()])
+    border = e.groupBy("region").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
+    return joins.in_polygons(from_events(spark, sf_dir).select("iot_id", "longitude", "latitude"), border, 0.05).select("iot_id", "region")
+
+
 def _grid(spark: SparkSession) -> DataFrame:
     """Invented elevations of cells of a quarter degree; some cells have none."""
     g = spark.range(0, 24 * 24).select((F.col("id") % 24).alias("cell_i"), (F.floor(F.col("id") / 24) + 196).alias("cell_j"))
@@ -326,11 +424,11 @@ def region_land(spark, sf_dir):
 
 
 @query(
-    f" SELECT iot_id, round({HAV.format(x1='longitude', y1='latitude', x2='3.184::DOUBLE', y2='51.371::DOUBLE')}, 3) AS metres FROM obs"
+    f" SELECT iot_id, round({HAV.format(x1='longitude', y1='latitude', x2='2.75::DOUBLE', y2='51.05::DOUBLE')}, 3) AS metres FROM obs"
 )
 def distance_to_point(spark, sf_dir):
     df = from_events(spark, sf_dir)
-    return df.select("iot_id", F.round(geo.haversine(F.col("longitude"), F.col("latitude"), F.lit(3.184), F.lit(51.371)), 3).alias("metres"))
+    return df.select("iot_id", F.round(geo.haversine(F.col("longitude"), F.col("latitude"), F.lit(2.75), F.lit(51.05)), 3).alias("metres"))
 
 
 # reports
@@ -527,6 +625,41 @@ def formatted_fields(spark, sf_dir):
     return from_events(spark, sf_dir).select("iot_id", day.alias("day"), F.format_string("%s(%s)", "observation_type", F.col("iot_id").cast("string")).alias("url"))
 
 
+# nested responses
+
+
+def _responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The observations as nested responses, one a thing, as they would come over the wire."""
+    o = from_events(spark, sf_dir)
+    place = F.struct(F.col("feature_id").alias("@iot.id"), F.struct(F.array("longitude", "latitude").alias("coordinates")).alias("feature"))
+    quality = F.when(F.col("k") % 7 == 0, "BAD").when(F.col("k") % 7 == 1, "2").otherwise("NO_QUALITY_CONTROL")
+    one = F.struct(F.col("iot_id").alias("@iot.id"), "result", F.date_format(F.timestamp_micros("t"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("phenomenonTime"), quality.alias("resultQuality"), place.alias("FeatureOfInterest"))
+    series = o.groupBy("thing_id", "datastream_id", "observation_type").agg(F.collect_list(one).alias("Observations"))
+    named = F.struct(F.col("datastream_id").alias("@iot.id"), F.col("observation_type").alias("name"))
+    data = F.struct(F.col("datastream_id").alias("@iot.id"), F.col("observation_type").alias("name"), F.create_map(F.lit("InstrDataItemID"), F.format_string("i%d", "datastream_id")).alias("properties"), named.alias("ObservedProperty"), "Observations")
+    things = series.groupBy("thing_id").agg(F.collect_list(data).alias("Datastreams"))
+    return things.select(F.from_json(F.to_json(F.struct("Datastreams")), RESPONSE).alias("r")).select("r.*")
+
+
+@query(
+    """ SELECT iot_id, datastream_id, t, result, CASE k % 7 WHEN 0 THEN 4 WHEN 1 THEN 2 ELSE 0 END AS qc_flag, feature_id, longitude, latitude, observation_type FROM obs"""
+)
+def flattened_responses(spark, sf_dir):
+    return entities.flatten(_responses(spark, sf_dir)).select("iot_id", "datastream_id", "t", "result", "qc_flag", "feature_id", "longitude", "latitude", "observation_type")
+
+
+@query(" SELECT datastream_id, max(observation_type) AS name, max(observation_type) AS name_observed_property, CAST(NULL AS VARCHAR) AS unit, 'i' || datastream_id AS instrument_item, count(*) AS n_observations FROM obs GROUP BY datastream_id")
+def series_summary(spark, sf_dir):
+    return entities.summary(_responses(spark, sf_dir))
+
+
+@query(" SELECT DISTINCT datastream_id AS id, observation_type AS name, 'i' || datastream_id AS \"InstrDataItemID\", datastream_id AS \"@iot.id\", observation_type AS \"name_ObservedProperty\" FROM obs")
+def expanded_properties(spark, sf_dir):
+    d = _responses(spark, sf_dir).select(F.explode("Datastreams").alias("d"))
+    d = d.select(F.col("d")["@iot.id"].alias("id"), F.col("d")["name"].alias("name"), F.col("d")["properties"].alias("properties"), F.struct(F.col("d")["ObservedProperty"]["@iot.id"].alias("@iot.id"), F.col("d")["ObservedProperty"]["name"].alias("name")).alias("ObservedProperty"))
+    return entities.expanded(entities.expanded(d, "properties"), "ObservedProperty")
+
+
 # incremental windows and the whole plan
 
 

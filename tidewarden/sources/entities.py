@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import flags
 from .schema import RESPONSE
@@ -89,6 +90,31 @@ def summary(responses: DataFrame) -> DataFrame:
     )
 
 
+def expanded(df: DataFrame, column: str, suffix: str = "") -> DataFrame:
+    """A nested column as columns of its own, in its place: a structure by its fields, a map by its keys.
+
+    Names that the table has already get the suffix (by default an underscore and the column's name); a name that is taken
+    even then is an error. The keys of a map are asked of the data: there are as many as a table has columns.
+    """
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.StructType):
+        names = kind.fieldNames()
+    else:
+        names = [r.k for r in df.select(F.explode(F.map_keys(column)).alias("k")).distinct().orderBy("k").collect()]
+    taken, out = [c for c in df.columns if c != column], []
+    for c in df.columns:
+        if c != column:
+            out.append(F.col(f"`{c}`"))
+            continue
+        for n in names:
+            new = n if n not in taken else n + (suffix or f"_{column}")
+            if new in taken:
+                raise ValueError(f"column {new!r} is there already")
+            taken.append(new)
+            out.append(F.col(column)[n].alias(new))
+    return df.select(*out)
+
+
 def yaml_template(series: DataFrame) -> DataFrame:
     """One row: a settings template with an entry for each series, in order of id. series: a summary, one row a sensor."""
     text = F.format_string("  %s: # name: %s, type: %s, unit: %s, instrdataid: %s\n    range:\n      -\n      -\n", "datastream_id", "name", "name_observed_property", "unit", "instrument_item")

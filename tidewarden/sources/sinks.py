@@ -41,6 +41,32 @@ def write_lines(lines: DataFrame, path: str, dry_run: bool = False) -> None:
         lines.write.mode("overwrite").text(path)
 
 
+def http_batch(url: str, user: str | None = None, passphrase: str | None = None, tries: int = 3, wait: float = 0.5) -> Callable[[list[str]], None]:
+    """A function that posts patches as one JSON batch request to ``url``, and again after failures, waiting longer each time."""
+
+    def post(held: list[str]) -> None:
+        import base64
+        import time
+        from urllib.error import URLError
+        from urllib.request import Request, urlopen
+
+        body = ('{"requests":[' + ",".join(held) + "]}").encode()
+        head = {"Content-Type": "application/json"}
+        if user and passphrase:
+            head["Authorization"] = "Basic " + base64.b64encode(f"{user}:{passphrase}".encode()).decode()
+        for i in range(tries):
+            try:
+                with urlopen(Request(url, body, head, method="POST"), timeout=300) as r:
+                    r.read()
+                return
+            except (URLError, TimeoutError):
+                if i + 1 == tries:
+                    raise
+                time.sleep(wait * 2**i)
+
+    return post
+
+
 def send(lines: DataFrame, post: Callable[[list[str]], None], batch: int = 1000, dry_run: bool = False) -> None:
     """Post the patches in batches from the executors. ``post`` must take repeats: tasks can run again."""
     if dry_run:
