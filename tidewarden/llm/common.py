@@ -2,67 +2,22 @@
 
 from __future__ import annotations
 
-import atexit
-import os
-import shutil
-import tempfile
-import uuid
-from urllib.parse import urlparse
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import local_path, materialise, new_path, shared_dir
+
+__all__ = ["local_path", "materialise", "new_path", "shared_dir", "table", "slots", "words", "word_count", "crc_bucket"]
+
 #: A word is a run of characters other than the six ASCII blanks.
 WORD_RE = r"[^\x20\x09-\x0D]+"
 SPACE_RE = r"[\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\f\r"
 
-_written: list[str] = []
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a fresh local one where it is unset (tests)."""
-    sc = spark.sparkContext
-    found = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="tidewarden-")
-        sc.setCheckpointDir(found)
-        spark.conf.set("spark.checkpoint.dir", found)
-        _written.append(found)
-    return found.rstrip("/")
-
-
-def new_path(spark: SparkSession, label: str) -> str:
-    path = f"{shared_dir(spark)}/tidewarden/{label}-{uuid.uuid4().hex}"
-    _written.append(path)
-    return path
-
-
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it again: cuts lineage, survives lost executors, gives real sizes."""
-    spark = df.sparkSession
-    path = new_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def local_path(uri: str) -> str | None:
-    """The POSIX path of a file: URI or plain path; None for other stores."""
-    parts = urlparse(uri)
-    return parts.path if parts.scheme in ("", "file") else None
-
-
-@atexit.register
-def _clean() -> None:
-    for uri in _written:
-        if path := local_path(uri):
-            shutil.rmtree(path, ignore_errors=True)
-
-
 def slots(spark: SparkSession) -> int:
     """Number of shuffle partitions that the session is set to."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -5,12 +5,15 @@ row for each chunk and bucket, and a bucket's task merges them: what is shuffled
 not with tokens, and a very frequent word or n-gram is one entry a chunk. First the vocabulary is counted, in ranges of
 the 64-bit word hash, and a word's id is its rank; then the highest order; every lower order counts the distinct left
 extensions that the order above it found. Count-of-counts for the discounts are sums over buckets. Nothing is pruned or
-capped, so the model grows with the corpus.
+capped, so the model grows with the corpus. All orders are one chain of shuffles: a bucket's task writes its shard and
+hands the next lower order on, and nothing is written twice. The number of buckets follows from the bytes of the texts, so
+that a bucket's task holds the n-grams of about BUCKET_BYTES of text, at any size of the corpus.
 
 Storage: a bucket's task writes one shard into the shared folder: sorted n-gram hashes with counts of one byte (larger
 counts stand in a second sorted array), and sorted context hashes with totals and the numbers of words seen once, twice
-and more often. A shard has a fixed name and is renamed into place, so that repeated tasks are harmless. Workers map
-shards on first use; of a store without local paths a shard is fetched to an unlinked local file and mapped there.
+and more often, each in the narrowest type that holds them. A shard has a fixed name and is renamed into place, so that
+repeated tasks are harmless. Workers map shards on first use; of a store without local paths a shard is read into memory,
+where the last used ones stay, up to HELD_BYTES.
 
 Scoring: log10 p of every token given its history, the sums a document. Unknown words share the uniform mass at the
 bottom, 1 / (V + 1) each, like an unknown class.
@@ -24,7 +27,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from tempfile import TemporaryFile
 
 import numpy as np
 import pandas as pd
@@ -35,10 +37,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_bucket, local_path, materialise, new_path, slots, table
+from .common import crc_bucket, local_path, new_path, slots, table
 
-ORDER = 2
+ORDER = 3
 FOLDS = 10
+#: Bytes of text for each bucket, and bytes of shards that a worker keeps of a store that it can't map.
+BUCKET_BYTES, HELD_BYTES = 1 << 24, 1 << 29
 #: Tokens that a worker counts or scores at once.
 CHUNK = 1 << 20
 END = b"\n"  # no word holds a blank
@@ -85,8 +89,21 @@ def unpack(blob: bytes) -> list[np.ndarray]:
     return out
 
 
-def summed(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct rows in order of their columns, with summed counts."""
+def summed(columns: list[np.ndarray], counts: np.ndarray, bits: int = 64) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows in order of their columns, with summed counts. bits: what a value needs at most; narrow rows are sorted
+    as one number."""
+    if len(columns) > 1 and bits * len(columns) <= 64:
+        key = columns[0].astype(np.uint64)
+        for c in columns[1:]:
+            key = key << np.uint64(bits) | c.astype(np.uint64)
+        (key,), counts = summed([key], counts)
+        low = np.uint64((1 << bits) - 1)
+        return [(key >> np.uint64(bits * i) & low) for i in range(len(columns) - 1, -1, -1)], counts
+    if len(columns) == 1:
+        order = np.argsort(columns[0], kind="quicksort")
+        columns, counts = [columns[0][order]], counts[order]
+        i = np.nonzero(np.concatenate([[True], columns[0][1:] != columns[0][:-1]]))[0] if len(order) else order
+        return [columns[0][i]], np.add.reduceat(counts, i) if len(i) else counts
     order = np.lexsort(columns[::-1])
     columns, counts = [c[order] for c in columns], counts[order]
     new = np.zeros(len(order), bool)
@@ -110,21 +127,27 @@ def write_shard(uri: str, name: str, arrays: dict[str, np.ndarray]) -> None:
 
 
 _maps: dict[str, dict[str, np.ndarray]] = {}
+_held: dict[str, int] = {}
 
 
 def read_shard(uri: str, name: str) -> dict[str, np.ndarray]:
-    """The shard's arrays, memory-mapped; kept for the worker's life."""
-    if (key := f"{uri}/{name}") not in _maps:
+    """The shard's arrays, memory-mapped and kept for the worker's life; in memory if the store can't be mapped."""
+    key = f"{uri}/{name}"
+    if key in _held:
+        _held[key] = _held.pop(key)  # the last used stand last
+    if key not in _maps:
         if path := local_path(uri):
             whole = np.memmap(f"{path}/{name}", np.uint8, "r")
+            if len(_maps) > 4096:
+                _maps.clear()
         else:
             store, root = fs.FileSystem.from_uri(uri)
-            copy = TemporaryFile()
             with store.open_input_stream(f"{root}/{name}") as f:
-                while part := f.read(1 << 22):
-                    copy.write(part)
-            copy.flush()
-            whole = np.memmap(copy, np.uint8, "r")
+                whole = np.frombuffer(f.read(), np.uint8)
+            _held[key] = len(whole)
+            while sum(_held.values()) > HELD_BYTES and len(_held) > 1:
+                gone = next(iter(_held))
+                del _held[gone], _maps[gone]
         n = int(whole[:8].view(np.uint64)[0])
         arrays, at = {}, 8 + n
         for part in bytes(whole[8 : 8 + n]).decode().strip().split(";"):
@@ -132,12 +155,15 @@ def read_shard(uri: str, name: str) -> dict[str, np.ndarray]:
             end = at + int(size) * np.dtype(kind).itemsize
             arrays[k] = whole[at:end].view(kind)
             at = end + (-(end - at) % 8)
-        if len(_maps) > 4096:
-            _maps.clear()
         _maps[key] = arrays
     return _maps[key]
 
 
+def narrow(a: np.ndarray) -> np.ndarray:
+    """The same numbers in the narrowest unsigned type."""
+    return a.astype(np.min_scalar_type(int(a.max(initial=0))))
+
+
 def found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(place, hit) of each wanted value in sorted keys."""
     if not len(keys):
@@ -194,6 +220,11 @@ class Model:
     #: of the lowest order: sum of continuation counts, and how many words have one, two and more
     lowest: np.ndarray = field(default_factory=lambda: np.zeros(4))
 
+    @property
+    def bits(self) -> int:
+        """What an id needs."""
+        return (self.vocabulary + 1).bit_length()
+
     @property
     def start(self) -> int:
         return self.vocabulary
@@ -263,46 +294,62 @@ def _count_ngrams(model: Model):
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for _, h, lengths in chunks(batches):
             (ids,) = model.ids(h)
-            columns, n = summed(histories(ids, lengths, model.order, model.start), np.ones(len(ids), np.int64))
+            columns, n = summed(histories(ids, lengths, model.order, model.start), np.ones(len(ids), np.int64), model.bits)
             yield pd.DataFrame(_blobs(columns, n, model), columns=["kind", "bucket", "blob"])
 
     return rows
 
 
+def _numbers(*numbers) -> bytes:
+    return np.array(numbers, np.int64).tobytes()
+
+
 def _write_ngrams(model: Model):
+    """Writes a bucket's shard; the next lower order goes on, and the numbers of each order (kind: less its order) with it."""
+
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         b = int(pdf["bucket"].iloc[0])
-        parts = [unpack(x) for x in pdf["blob"]]
+        told = list(pdf[pdf["kind"] < 0].itertuples(index=False, name=None))
+        parts = [unpack(x) for x in pdf.loc[pdf["kind"] > 0, "blob"]]
+        if not parts:
+            return pd.DataFrame(told, columns=["kind", "bucket", "blob"])
         m = len(parts[0]) - 1
-        columns, n = summed([np.concatenate([p[i] for p in parts]) for i in range(m)], np.concatenate([p[m] for p in parts]).astype(np.int64))
-        del parts
+        columns, n = [np.concatenate([p[i] for p in parts]) for i in range(m)], np.concatenate([p[m] for p in parts]).astype(np.int64)
+        del parts, pdf
+        columns, n = summed(columns, n, model.bits)
         contexts = context_hash(columns[:-1])
         hashes = pair_hash(contexts, columns[-1])
         o = np.argsort(hashes)
         large = o[n[o] >= 255]
-        (ctx,), total = summed([contexts], n)
-        seen = [summed([contexts], (n == k).astype(np.int64))[1] for k in (1, 2)] + [summed([contexts], (n >= 3).astype(np.int64))[1]]
-        write_shard(model.uri, f"order-{m}-{b:06d}", {
-            "hash": hashes[o], "count": np.minimum(n[o], 255).astype(np.uint8), "large": hashes[large], "large_n": n[large].astype(np.uint64),
-            "context": ctx, "total": total.astype(np.uint64), "n1": seen[0].astype(np.uint32), "n2": seen[1].astype(np.uint32), "n3": seen[2].astype(np.uint32),
-        })
-        of = np.array([(n == k).sum() for k in (1, 2, 3, 4)], np.int64)
-        shorter, left = summed(columns[1:], np.ones(len(n), np.int64))
-        return pd.DataFrame([(0, b, of.tobytes()), *_blobs(shorter, left, model)], columns=["kind", "bucket", "blob"])
+        arrays = {"hash": hashes[o], "count": np.minimum(n[o], 255).astype(np.uint8), "large": hashes[large], "large_n": n[large].astype(np.uint64)}
+        o = np.argsort(contexts, kind="stable")
+        contexts, at = contexts[o], n[o]
+        i = np.nonzero(np.concatenate([[True], contexts[1:] != contexts[:-1]]))[0]
+        arrays |= {"context": contexts[i], "total": narrow(np.add.reduceat(at, i))}
+        arrays |= {f"n{k}": narrow(np.add.reduceat(((at == k) if k < 3 else (at >= 3)).astype(np.int64), i)) for k in (1, 2, 3)}
+        write_shard(model.uri, f"order-{m}-{b:06d}", arrays)
+        told.append((-m, b, _numbers(*[(n == k).sum() for k in (1, 2, 3, 4)])))
+        del arrays, contexts, hashes, at, o
+        shorter, left = summed(columns[1:], np.ones(len(n), np.int64), model.bits)
+        return pd.DataFrame([*told, *_blobs(shorter, left, model)], columns=["kind", "bucket", "blob"])
 
     return merge
 
 
 def _write_before(model: Model):
+    """Of the lowest order: writes the numbers of left extensions of a bucket's words, and tells sum, words and counts."""
+
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         b = int(pdf["bucket"].iloc[0])
-        parts = [unpack(x) for x in pdf["blob"]]
-        (ids,), n = summed([np.concatenate([p[0] for p in parts])], np.concatenate([p[1] for p in parts]).astype(np.int64))
-        dense = np.zeros(int(model.bases[b + 1] - model.bases[b]), np.int64)
-        dense[ids.astype(np.int64) - model.bases[b]] = n
-        write_shard(model.uri, f"before-{b:06d}", {"before": dense})
-        of = [int((n == k).sum()) for k in (1, 2, 3, 4)]
-        return pd.DataFrame([(b, int(n.sum()), len(n), *of)], columns=["bucket", "total", "words", "n1", "n2", "n3", "n4"])
+        told = list(pdf[pdf["kind"] < 0].itertuples(index=False, name=None))
+        parts = [unpack(x) for x in pdf.loc[pdf["kind"] > 0, "blob"]]
+        if parts:
+            (ids,), n = summed([np.concatenate([p[0] for p in parts])], np.concatenate([p[1] for p in parts]).astype(np.int64))
+            dense = np.zeros(int(model.bases[b + 1] - model.bases[b]), np.int64)
+            dense[ids.astype(np.int64) - model.bases[b]] = n
+            write_shard(model.uri, f"before-{b:06d}", {"before": narrow(dense)})
+            told.append((-1, b, _numbers(*[(n == k).sum() for k in (1, 2, 3, 4)], n.sum(), len(n))))
+        return pd.DataFrame(told, columns=["kind", "bucket", "blob"])
 
     return merge
 
@@ -319,29 +366,40 @@ def discounts(of: np.ndarray) -> np.ndarray:
     return np.clip(out, 0, [0, 1, 2, 3])
 
 
-def train(texts: DataFrame, order: int = ORDER) -> Model:
+def train(texts: DataFrame, order: int = ORDER, bucket_bytes: int = BUCKET_BYTES) -> Model:
     """texts (data): UTF-8 bytes of whole texts."""
     spark = texts.sparkSession
-    uri, buckets = new_path(spark, "kneser-ney"), slots(spark)
+    size = texts.agg(F.sum(F.octet_length("data"))).first()[0] or 0
+    uri, buckets = new_path(spark, "kneser-ney"), max(slots(spark), -(-size // bucket_bytes))
     store, root = fs.FileSystem.from_uri(uri)
     store.create_dir(root, recursive=True)
-    counted = texts.mapInPandas(_count_words(buckets), BLOBS).groupBy("bucket").applyInPandas(_write_words(uri), "bucket int, words long, tokens long").collect()
+
+    def merged(blobs: DataFrame, merge, schema: str) -> DataFrame:
+        """One task for each bucket, over its rows."""
+
+        def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            held = [b for b in batches if len(b)]
+            if held:
+                yield merge(pd.concat(held, ignore_index=True))
+
+        return blobs.repartitionById(buckets, F.col("bucket")).mapInPandas(rows, schema)
+
+    counted = merged(texts.mapInPandas(_count_words(buckets), BLOBS), _write_words(uri), "bucket int, words long, tokens long").collect()
     sizes = np.zeros(buckets, np.int64)
     for r in counted:  # one row a bucket
         sizes[r.bucket] = r.words
     model = Model(uri, order, buckets, np.concatenate([[0], np.cumsum(sizes)]), int(sizes.sum()), sum(r.tokens for r in counted))
     blobs = texts.mapInPandas(_count_ngrams(model), BLOBS)
-    for m in range(order, 1, -1):
-        merged = materialise(blobs.groupBy("bucket").applyInPandas(_write_ngrams(model), BLOBS), f"order-{m}")
-        of = np.zeros(4, np.int64)
-        for r in merged.where("kind = 0").select("blob").collect():  # one row a bucket
-            of += np.frombuffer(bytes(r.blob), np.int64)
-        model.discounts[m] = discounts(of)
-        blobs = merged.where("kind != 0")
-    rows = blobs.groupBy("bucket").applyInPandas(_write_before(model), "bucket int, total long, words long, n1 long, n2 long, n3 long, n4 long").collect()
-    of = np.array([sum(r[f"n{k}"] for r in rows) for k in (1, 2, 3, 4)])
-    model.discounts[1] = discounts(of)
-    model.lowest = np.array([sum(r.total for r in rows), of[0], of[1], sum(r.words for r in rows) - of[0] - of[1]], float)
+    for _ in range(order, 1, -1):
+        blobs = merged(blobs, _write_ngrams(model), BLOBS)
+    told: dict[int, np.ndarray] = {}
+    for r in merged(blobs, _write_before(model), BLOBS).collect():  # a few numbers for each order and bucket
+        told[-r.kind] = told.get(-r.kind, 0) + np.frombuffer(bytes(r.blob), np.int64)
+    for m in range(1, order + 1):
+        model.discounts[m] = discounts(told[m][:4] if m in told else np.zeros(4))
+    if 1 in told:
+        n1, n2, _, _, total, words = told[1]
+        model.lowest = np.array([total, n1, n2, words - n1 - n2], float)
     return model
 
 
