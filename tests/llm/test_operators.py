@@ -277,7 +277,7 @@ def test_sequences_round_trip(spark, edge, empty):
         order = out.sort_values("sequence_id")
         stream = np.concatenate([rows[s][:n] for s, n in zip(order.slot, order.n_tokens)])
         ids = [x + [0] for x in plain_ids(texts)]
-        assert Counter(stream.tolist()) == Counter(i for x in ids for i in x)
+        assert stream.tolist() == [i for x in ids for i in x]  # in order, as the tasks follow the rows
         again = sequences.write_shards(docs, uri, length=128, per_shard=16).toPandas().sort_values("slot")
         assert again.reset_index(drop=True).equals(out.reset_index(drop=True))
     uri = new_path(spark, "test")
@@ -369,6 +369,75 @@ def test_links_span_the_true_components(spark, file_rows, limit):
     assert got == want
 
 
+def test_links_with_unequal_thresholds(spark, monkeypatch):
+    """Correlated bits make partitions of unequal sizes; where filed rows cost little, thresholds are unequal too."""
+    rng = np.random.default_rng(5)
+    bits = rng.integers(0, 2, (1500, 64))
+    for b in range(1, 24):
+        bits[:, b] = np.where(rng.random(len(bits)) < 0.03, bits[:, b], bits[:, 0])
+    prints = {int(x) for x in np.packbits(bits.astype(np.uint8), axis=1, bitorder="little").view(np.uint64).ravel()}
+    prints |= {x ^ sum(1 << int(b) for b in rng.choice(64, rng.integers(1, 5), replace=False)) for x in list(prints)[:400]}
+    df, signed = nodes_of(spark, sorted(prints))
+    counts, n = simhash.bit_counts(df)
+    assert n == len(prints)
+
+    def plan(cost):
+        monkeypatch.setattr(simhash, "ROW_COST", cost)
+        return simhash.allocate(np.diag(counts[0]).copy(), counts[0], n, 3)
+
+    sizes = [len(p.bits) for p in plan(0.5)]
+    assert max(sizes) >= 2 * min(sizes)
+    assert any(len({p.threshold for p in plan(c)}) > 1 for c in (0.1, 0.03, 0.01, 0.003, 0.001, 0.0003, 0.0001))
+    got = {r.node: r.root for r in components.components(simhash.links(df, 3)).collect()}
+    u = np.array([x & (1 << 64) - 1 for x in signed], np.uint64)
+    root = np.array(signed)
+    near = [np.nonzero(np.bitwise_count(u ^ x) <= 3)[0] for x in u]
+    changed = True
+    while changed:
+        low = np.array([root[a].min() for a in near])
+        changed, root = (low != root).any(), low
+    assert got == {s: int(r) for s, r, a in zip(signed, root, near) if len(a) > 1}
+
+
+def test_plans_for_a_similarity(spark):
+    """The chance of a miss at the similarity is as asked; the plan leaves out what it doesn't need, and correlated bits first."""
+    rng = np.random.default_rng(6)
+    bits = rng.integers(0, 2, (4000, 64)).astype(float)
+    tied = bits.copy()
+    tied[:, 1:32] = np.where(rng.random((4000, 31)) < 0.02, bits[:, 1:32], bits[:, :1])
+    counts = np.stack([b.T @ b for b in [bits] * 12 + [tied] * 4])
+    for missed, corpus in ((0.005, 10**7), (0.02, 10**6)):
+        plan = simhash.allocate_likely(counts, 4000, 0.8, missed, corpus)
+        p, miss = simhash.differing(0.8), 1.0
+        for part in plan:
+            s, t = len(part.bits), part.threshold
+            miss *= 1 - sum(math.comb(s, i) * p**i * (1 - p) ** (s - i) for i in range(t + 1))
+        assert missed / 2 < miss <= missed and len({(q.word, b) for q in plan for b in q.bits}) == sum(len(q.bits) for q in plan)
+        assert not any(q.word >= 12 and len(set(q.bits) & set(range(32))) > 16 for q in plan)
+    with pytest.raises(ValueError):
+        simhash.allocate_likely(counts[:1], 4000, 0.8, 1e-6, 10**7)
+
+
+@pytest.mark.parametrize("others", [0, 1500])
+def test_recall_of_near_copies(spark, others):
+    """Pairs just above the similarity are found, with any number of other texts around; none below is."""
+    rng = np.random.default_rng(8)
+    draw = lambda n: [f"q{x}" for x in rng.integers(0, 10**6, n)]
+    rows, above = [], 0
+    for i in range(300):
+        w = draw(int(rng.integers(90, 260)))
+        n = len(w) - 4
+        v = w + draw(math.floor(n / 0.8) + (i % 2 == 0) - n)
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(v))]
+        same = n / (len(v) - 4) >= 0.8
+        above += same
+        assert same == bool(i % 2)
+    rows += [(10_000 + i, " ".join(draw(80))) for i in range(others)]
+    kept = {r.doc_id for r in simhash.keep_one(make(spark, rows)).collect()}
+    assert all(i in kept and i + 1 in kept for i in range(0, 600, 4)) and all(10_000 + i in kept for i in range(others))
+    assert sum(2 * i + 1 not in kept for i in range(1, 300, 2)) >= 0.97 * above
+
+
 @pytest.mark.parametrize("n", [100, 10**5, 10**7, 10**10])
 def test_thresholds_are_those_of_the_pigeonhole(n):
     rng = np.random.default_rng(1)
@@ -521,6 +590,28 @@ def test_removed_from_few_letters(spark, monkeypatch, seed, depth, chunk):
     assert got == plain_removed(rows, depth)
 
 
+def test_hot_anchors_are_split(spark, monkeypatch):
+    """A passage in every document, each time between other words: its anchors have a context a document."""
+    monkeypatch.setattr(suffixes, "HOT", 20)
+    rng = np.random.default_rng(9)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 9))
+    passage = " ".join(word() for _ in range(9))
+    rows = [(i if i % 7 else None, f"{word()} {word()} {passage[: 60 + i % 25]} {word()} {passage[i % 11 :]}{word()}") for i in range(150)]
+    docs = make(spark, rows)
+    settled = suffixes.settled_runs(suffixes.keyed_texts(docs))
+    assert settled.where("kind = 2").count() > 100
+    assert Counter(map(tuple, suffixes.removed(docs).collect())) == plain_removed(rows, 50)
+
+
+def test_many_equal_rows(spark):
+    """Equal rows of one key ask for their contexts once."""
+    one = "a text that comes very many times under the same key, and shares this much with another"
+    rows = [(5, one)] * 4_000 + [(3, "before it stands " + one[20:])]
+    docs = make(spark, rows)
+    assert suffixes.settled_runs(suffixes.keyed_texts(docs)).where("kind = 1").count() < 20
+    assert Counter(map(tuple, suffixes.removed(docs).collect())) == plain_removed(rows, 50)
+
+
 def test_texts_of_the_null_key_with_equal_32_bit_hashes(spark):
     passage = "a passage of more than fifty bytes that an earlier document has as well"
     numbers = spark.range(300_000).select(F.col("id").cast("string").alias("n"))

@@ -2,9 +2,15 @@
 
 Fingerprints are majorities over the 64-bit hashes of a text's word shingles. For a threshold of t bits over m partitions
 of the bits, thresholds t_i >= -1 that sum to t - m + 1 suffice: two fingerprints within t bits are within t_i bits in
-some partition. Bits are grouped by their correlation over all fingerprints; for each grouping the number of candidates of
-every partition and threshold is estimated from a dependence tree over its bits (the tree's pairwise counts come from
-all fingerprints, 64 x 64 sums), and dynamic programming allocates the thresholds of least cost; -1 leaves a partition out.
+some partition. Bits are grouped by their correlation over all fingerprints, into partitions of about equal information;
+for each grouping the number of candidates of every partition and threshold is estimated from a dependence tree over its
+bits (the tree's pairwise counts come from all fingerprints, 64 x 64 sums a word), and dynamic programming allocates the
+thresholds of least cost; -1 leaves a partition out.
+
+Two forms. For few differing bits the thresholds sum up as above and all pairs are found. For a similarity of shingle sets
+(0.8: 15 % of the bits differ) sums of thresholds that make every pair certain select next to nothing; there the thresholds
+have to meet a chance of missing a pair instead, over a fingerprint of more words. The same groups, estimates and dynamic
+programme allocate them, and the links are verified on the shingle sets.
 
 Probing: every distinct fingerprint is filed under its partition's value with each choice of t_i bits struck out, so that
 those within t_i bits meet in some file. A file is searched breadth-first over the fingerprints not yet reached, in numpy:
@@ -28,6 +34,7 @@ from math import ceil, comb
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -106,22 +113,20 @@ def _prefix(held: np.ndarray, similarity: float) -> np.ndarray:
     return held[: len(held) - ceil(similarity * len(held) - 1e-9) + 1].view(np.int64)
 
 
-def fingerprints(docs: DataFrame, k: int, n_words: int = 1, more: str = "", bands: tuple[int, int] = (0, 0), kept: int | None = None, similarity: float = 1.0) -> DataFrame:
+def fingerprints(docs: DataFrame, k: int, n_words: int = 1, more: str = "", similarity: float | None = None) -> DataFrame:
     """(doc_id, fp array<long>, n) of docs (doc_id, text): n shingles. more: a further column to carry, with its type.
 
-    bands: (m, w) counts each shingle once, and adds ``node``, a hash of the set of shingles; ``bands``, m numbers of w bits
-    each, none for sets of up to SHORT; and ``prefix``, shingles by which sets of up to SHORT / similarity are found. ``fp``
-    then holds the first ``kept`` words only.
+    similarity: count each shingle once, and add ``node``, a hash of the set of shingles, and ``prefix``, shingles by which
+    sets of up to SHORT / similarity are found.
     """
     other = more.split()[0] if more else None
-    m, w = bands
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             made, held, n, nodes, prefix = [], [], 0, [], []
             for i, t in enumerate(batch["text"]):
-                held.append(np.unique(shingle_hashes(t, k)) if m else shingle_hashes(t, k))
-                if m:
+                held.append(np.unique(shingle_hashes(t, k)) if similarity else shingle_hashes(t, k))
+                if similarity:
                     nodes.append(xxhash.xxh64_intdigest(held[-1].tobytes(), SEED))
                     prefix.append(_prefix(held[-1], similarity) if 0 < len(held[-1]) <= SHORT / similarity else np.zeros(0, np.int64))
                 n += len(held[-1])
@@ -131,27 +136,25 @@ def fingerprints(docs: DataFrame, k: int, n_words: int = 1, more: str = "", band
             if not made:
                 continue
             words = np.concatenate([x for x, _ in made])
-            out = pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "fp": list(words[:, :kept].view(np.int64)), "n": [c for _, y in made for c in y]})
-            if m:
-                bits = np.unpackbits(np.ascontiguousarray(words).view(np.uint8), axis=1, bitorder="little")[:, : m * w]
-                made_of = bits.reshape(len(words), m, w) @ (1 << np.arange(w, dtype=np.int64))
-                out["bands"] = [x if c > SHORT else x[:0] for x, c in zip(made_of, out["n"])]
+            out = pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "fp": list(words.view(np.int64)), "n": [c for _, y in made for c in y]})
+            if similarity:
                 out["prefix"], out["node"] = prefix, np.array(nodes, np.uint64).view(np.int64)
             if other:
                 out[other] = batch[other].to_numpy()
             yield out
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *([other] if other else []))
-    schema = "doc_id long, fp array<long>, n long" + (", bands array<long>, prefix array<long>, node long" if m else "") + (f", {more}" if more else "")
+    schema = "doc_id long, fp array<long>, n long" + (", prefix array<long>, node long" if similarity else "") + (f", {more}" if more else "")
     return src.mapInPandas(rows, schema)
 
 
 @dataclass
 class Part:
-    """A partition of the bits and its threshold."""
+    """A partition of the bits of one word of the fingerprint, and its threshold."""
 
     bits: list[int]
     threshold: int
+    word: int = 0
 
     def masks(self) -> list[int]:
         """The partition's bits with each choice of ``threshold`` of them struck out."""
@@ -161,15 +164,41 @@ class Part:
         return [whole & ~sum(1 << b for b in out) for out in combinations(self.bits, self.threshold)]
 
 
-def grouped_bits(corr: np.ndarray, m: int) -> list[list[int]]:
-    """m groups of about equal size; each takes on the bits that correlate most with it."""
-    left, groups = set(range(len(corr))), []
+def information(ones: np.ndarray, joint: np.ndarray, n: float) -> tuple[np.ndarray, np.ndarray]:
+    """(entropy of each bit, mutual information of each two), in bits; the latter's diagonal is zero."""
+    p = np.clip(ones / max(n, 1), 1e-9, 1 - 1e-9)
+    both = np.clip(joint / max(n, 1), 1e-12, 1)
+    mutual = np.zeros_like(both)
+    for x, px in ((1, p), (0, 1 - p)):
+        for y, py in ((1, p), (0, 1 - p)):
+            t = both if x and y else (p[:, None] - both if x else p[None, :] - both) if x or y else 1 - p[:, None] - p[None, :] + both
+            t = np.clip(t, 1e-12, 1)
+            mutual += t * np.log2(t / np.outer(px, py))
+    np.fill_diagonal(mutual, 0)
+    return -(p * np.log2(p) + (1 - p) * np.log2(1 - p)), np.maximum(mutual, 0)
+
+
+def grouped_bits(entropy: np.ndarray, mutual: np.ndarray, m: int) -> list[list[int]]:
+    """m groups of about equal information: each takes on the bits that tell most about it, and closes when it holds its
+    share. Bits that tell about each other add little, so that a group of correlated bits has more of them."""
+    left, groups = set(range(len(entropy))), []
     for i in range(m):
-        size = len(left) // (m - i)
-        group = [max(left, key=lambda b: (corr[b, list(left)].sum(), -b))]
+        group = [max(left, key=lambda b: (mutual[b, list(left)].sum(), -b))]
         left.discard(group[0])
-        while len(group) < size:
-            b = max(left, key=lambda x: (corr[x, group].sum(), -x))
+        if i == m - 1:
+            group += left
+            groups.append(sorted(group))
+            break
+        # What is left to share: each bit's entropy less what it has in common with the bit nearest to it.
+        rest = sorted(left)
+        share = (entropy[group[0]] + sum(entropy[b] - max((mutual[b, x] for x in rest if x < b), default=0.0) for b in rest)) / (m - i)
+        held = entropy[group[0]]
+        while len(left) > m - i - 1:
+            b = max(left, key=lambda x: (mutual[x, group].sum(), -x))
+            gain = max(entropy[b] - mutual[b, group].max(), 0.0)
+            if held + gain / 2 > share:
+                break
+            held += gain
             group.append(b)
             left.discard(b)
         groups.append(sorted(group))
@@ -216,24 +245,23 @@ def distances(bits: list[int], ones: np.ndarray, joint: np.ndarray, n: float, mo
     return np.einsum("x,y,xyd->d", root, root, poly[bits[0]])
 
 
+def _met(g: list[int], ones: np.ndarray, joint: np.ndarray, n: float, most: int) -> list[float]:
+    """For thresholds 0..most: how often two fingerprints meet in the files of the partition, counted by their files."""
+    d = distances(g, ones, joint, max(n, 1), min(most, len(g)))
+    return [sum(d[i] * comb(len(g) - i, t - i) for i in range(min(t, len(d) - 1) + 1)) for t in range(most + 1)]
+
+
 def allocate(ones: np.ndarray, joint: np.ndarray, n: int, limit: int) -> list[Part]:
-    """The partitions and thresholds of least estimated cost."""
+    """The partitions and thresholds of least estimated cost that find all pairs within ``limit`` bits."""
     pairs = n * n / 2
-    cov = joint / max(n, 1) - np.outer(ones, ones) / max(n, 1) ** 2
-    sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
-    corr = np.abs(cov / np.outer(sd, sd))
-    np.fill_diagonal(corr, 0)
+    entropy, mutual = information(ones, joint, n)
     best, plan = pairs * PAIR_COST * ALONE + n * (1 + n / FILE_ROWS) * ROW_COST, [Part(list(range(BITS)), BITS)]
     for m in range(1, limit + 2):
-        groups, total = grouped_bits(corr, m), limit - m + 1
+        groups, total = grouped_bits(entropy, mutual, m), limit - m + 1
         costs = []
         for g in groups:
-            d = distances(g, ones, joint, max(n, 1), min(limit, len(g)))
-            row = [0.0]
-            for t in range(min(total + m - 1, len(g) - 1) + 1):
-                met = sum(d[i] * comb(len(g) - i, t - i) for i in range(min(t, len(d) - 1) + 1))
-                row.append(comb(len(g), t) * n * ROW_COST + pairs * met * PAIR_COST)
-            costs.append(row)  # row[t + 1]
+            most = min(total + m - 1, len(g) - 1)
+            costs.append([0.0, *(comb(len(g), t) * n * ROW_COST + pairs * x * PAIR_COST for t, x in enumerate(_met(g, ones, joint, n, most)))])  # [t + 1]
         reach = {0: (0.0, [])}  # sum of (t_i + 1) -> least cost
         for row in costs:
             step: dict[int, tuple[float, list[int]]] = {}
@@ -248,25 +276,86 @@ def allocate(ones: np.ndarray, joint: np.ndarray, n: int, limit: int) -> list[Pa
     return plan
 
 
-def bit_counts(nodes: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
-    """Of the first words of all nodes: ones per bit, joint ones per two bits, and the number of nodes."""
+def differing(similarity: float) -> float:
+    """The part of its bits in which two fingerprints differ at this Jaccard similarity."""
+    return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+
+
+#: Steps in which the dynamic programme counts the chance of a miss.
+STEPS = 400
+
+
+def allocate_likely(counts: np.ndarray, n: int, similarity: float, missed: float, corpus: int) -> list[Part]:
+    """The partitions and thresholds of least estimated cost that miss at most ``missed`` of the pairs at the similarity.
+
+    counts: (words, 64, 64) joint ones of n fingerprints. A partition of s bits and threshold t finds a pair with the chance
+    that at most t of its s bits differ; the chances of missing it multiply. Costs are those of a corpus of ``corpus``
+    fingerprints, a stated number: the plan does not follow the size of the input.
+    """
+    p, goal = differing(similarity), -np.log(missed)
+    best, plan = np.inf, []
+    for m in range(2, 7):  # partitions a word
+        options = []
+        for w, joint in enumerate(counts):
+            ones = np.diag(joint).copy()
+            for g in grouped_bits(*information(ones, joint, n), m):
+                row = []
+                for t, x in enumerate(_met(g, ones, joint, n, 2)):
+                    found = sum(comb(len(g), i) * p**i * (1 - p) ** (len(g) - i) for i in range(t + 1))
+                    row.append((-np.log1p(-min(found, 1 - 1e-12)) / goal * STEPS, comb(len(g), t) * ROW_COST + corpus / 2 * x * PAIR_COST, Part(g, t, w)))
+                options.append(row)
+        cost = np.full(STEPS + 1, np.inf)
+        cost[0], choice = 0.0, []
+        for row in options:
+            new, pick = cost.copy(), np.zeros(STEPS + 1, np.int64)  # 0: left out
+            for j, (gain, c, _) in enumerate(row):
+                to = np.minimum(np.arange(STEPS + 1) + int(gain), STEPS)
+                for s in range(STEPS + 1):
+                    if cost[s] + c < new[to[s]]:
+                        new[to[s]], pick[to[s]] = cost[s] + c, (j + 1) * (STEPS + 1) + s
+            choice.append(pick)
+            cost = new
+        if cost[STEPS] < best:
+            best, plan, s = cost[STEPS], [], STEPS
+            for row, pick in zip(options[::-1], choice[::-1]):
+                if pick[s]:
+                    j, s = divmod(int(pick[s]), STEPS + 1)
+                    plan.append(row[j - 1][2])
+    if not plan:
+        raise ValueError("fingerprints of so few words can't find that many of the pairs: ask for more words")
+    return plan[::-1]
+
+
+def bit_counts(nodes: DataFrame, n_words: int = 1) -> tuple[np.ndarray, int]:
+    """Of all nodes (fp): (words, 64, 64) joint ones of two bits of a word, on the diagonal the ones; and how many there are.
+
+    One row a task, added up in two rounds, so that no task adds up very many.
+    """
+    size = n_words * BITS * BITS
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total, n = np.zeros((BITS, BITS)), 0
+        total, n = np.zeros((n_words, BITS, BITS), np.int64), 0
+        for batch in batches:
+            for a in range(0, len(batch), 16384):
+                x = np.stack(batch["fp"].iloc[a : a + 16384].to_numpy()).astype(np.int64)
+                bits = np.unpackbits(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), n_words, 8), axis=2, bitorder="little").astype(np.float32)
+                for w in range(n_words):
+                    total[w] += (bits[:, w].T @ bits[:, w]).astype(np.int64)
+            n += len(batch)
+        if n:
+            yield pd.DataFrame({"part": [TaskContext.get().partitionId() % 64], "c": [np.append(total.ravel(), n).tobytes()]})
+
+    def added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(size + 1, np.int64)
         for batch in batches:
-            x = batch["w0"].to_numpy(np.int64)
-            for a in range(0, len(x), 65536):
-                bits = np.unpackbits(x[a : a + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.float32)
-                total += bits.T @ bits
-            n += len(x)
-        yield pd.DataFrame({"i": np.arange(BITS * BITS + 1), "c": np.append(total.ravel(), n).astype(np.int64)})
+            for c in batch["c"]:
+                total += np.frombuffer(c, np.int64)
+        yield pd.DataFrame({"part": [0], "c": [total.tobytes()]})
 
-    sums = nodes.select(F.col("fp")[0].alias("w0")).mapInPandas(partial, "i int, c long").groupBy("i").agg(F.sum("c").alias("c"))
-    flat = np.zeros(BITS * BITS + 1)
-    for r in sums.collect():  # 4,097 rows
-        flat[r.i] = r.c
-    joint = flat[:-1].reshape(BITS, BITS)
-    return np.diag(joint).copy(), joint, int(flat[-1])
+    kind, flat = "part int, c binary", np.zeros(size + 1, np.int64)
+    for r in nodes.select(F.slice("fp", 1, n_words).alias("fp")).mapInPandas(partial, kind).repartition(64, "part").mapInPandas(added, kind).collect():  # 64 rows
+        flat += np.frombuffer(bytes(r.c), np.int64)
+    return flat[:-1].reshape(n_words, BITS, BITS).astype(float), int(flat[-1])
 
 
 def _forest(fp: np.ndarray, limit: int, full: int) -> tuple[np.ndarray, np.ndarray]:
@@ -371,25 +460,32 @@ def _links(limit: int, full: int, keys: list[str], file_rows: int = FILE_ROWS):
     return search
 
 
+def filed_by(nodes: DataFrame, plan: list[Part], kept: int = 1) -> DataFrame:
+    """(node, fp, mask_id, part): nodes (node, fp) under their partitions' values; fp has the first ``kept`` words."""
+    masks = [(p.word, m - (1 << 64) if m >= 1 << 63 else m) for p in plan for m in p.masks()]
+    values = F.array(*[F.col("fp")[w].bitwiseAND(F.lit(m).cast("long")) for w, m in masks])
+    filed = nodes.select("node", F.slice("fp", 1, kept).alias("fp"), F.posexplode(values).alias("mask_id", "part"))
+    return filed.withColumn("mask_id", F.col("mask_id").cast("long"))
+
+
 def links(nodes: DataFrame, limit: int, file_rows: int = FILE_ROWS) -> DataFrame:
     """Links (a, b) that span the components of nodes (node, fp) within ``limit`` bits of one word."""
-    ones, joint, n = bit_counts(nodes)
-    masks = [m for p in allocate(ones, joint, n, limit) for m in p.masks()]
-    signed = [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
-    filed = nodes.select("node", "fp", F.posexplode(F.array(*[F.lit(m).cast("long") for m in signed])).alias("mask_id", "mask"))
-    filed = filed.select("node", "fp", F.col("mask_id").cast("long").alias("mask_id"), F.col("fp")[0].bitwiseAND(F.col("mask")).alias("part"))
-    return _searched(filed, limit, BITS, file_rows)
+    counts, n = bit_counts(nodes)
+    return _searched(filed_by(nodes, allocate(np.diag(counts[0]).copy(), counts[0], n, limit)), limit, BITS, file_rows)
 
 
-def similar_links(nodes: DataFrame, limit: int, full: int, file_rows: int = FILE_ROWS) -> DataFrame:
-    """Links of nodes (node, fp, bands) that agree in a band and lie within the bounds in the first and in all words of fp."""
-    filed = nodes.select("node", "fp", F.posexplode("bands").alias("mask_id", "part")).withColumn("mask_id", F.col("mask_id").cast("long"))
-    return _searched(filed, limit, full, file_rows)
+def similar_links(nodes: DataFrame, similarity: float, n_words: int, missed: float, corpus: int, file_rows: int = FILE_ROWS) -> DataFrame:
+    """Links of nodes (node, fp, n) of more than SHORT shingles that meet in a file of the planned partitions and lie within
+    ``bit_bounds`` in the first word and in the first VERIFIED_WORDS."""
+    counts, n = bit_counts(nodes, n_words)
+    long = nodes.where(F.col("n") > SHORT)
+    plan = allocate_likely(counts, n, similarity, missed, corpus)
+    return _searched(filed_by(long, plan, VERIFIED_WORDS), *bit_bounds(similarity), file_rows)
 
 
 def short_links(nodes: DataFrame, file_rows: int = FILE_ROWS) -> DataFrame:
     """Links of nodes (node, fp, prefix) that share a shingle of their prefixes and lie within SHORT_BOUNDS."""
-    filed = nodes.select("node", "fp", F.lit(0).cast("long").alias("mask_id"), F.explode("prefix").alias("part"))
+    filed = nodes.select("node", F.slice("fp", 1, VERIFIED_WORDS).alias("fp"), F.lit(0).cast("long").alias("mask_id"), F.explode("prefix").alias("part"))
     return _searched(filed, *SHORT_BOUNDS, file_rows)
 
 
@@ -489,7 +585,7 @@ def _searched(filed: DataFrame, limit: int, full: int, file_rows: int) -> DataFr
 
 def classes(fps: DataFrame, find) -> DataFrame:
     """(node, component_id) for each distinct fingerprint of fps (doc_id, node, ...); find: nodes -> links."""
-    other = [c for c in ("fp", "bands", "prefix") if c in fps.columns]
+    other = [c for c in ("fp", "n", "prefix") if c in fps.columns]
     per = fps.groupBy("node").agg(*[F.first(c).alias(c) for c in other], F.min("doc_id").alias("low"))
     per = materialise(per, "nodes")
     roots = components(find(per.select("node", *other)))
@@ -507,43 +603,38 @@ def near_duplicates(docs: DataFrame, k: int = 3, limit: int = 3) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: The similarity form. At a Jaccard similarity s of the shingles, two fingerprints differ in acos(2s / (1 + s)) / pi of
-#: their bits. Candidates agree in one of m bands of w bits: thresholds of zero in m partitions, which the pigeonhole makes
-#: certain up to m - 1 differing bits, and which at s still find all but MISSED of the pairs. w follows from the number
-#: of documents, so that unrelated ones meet in files of FILE_MEAN; m follows from w. Candidates are within bounds on 256
-#: bits, and are then verified by the Jaccard similarity itself.
-VERIFIED_WORDS, FILE_MEAN, MISSED = 4, 8, 0.02
+#: The similarity form. Its fingerprints have SIMILAR_WORDS words; its plan misses at most MISSED of the pairs at the
+#: similarity itself, fewer above it, and is the cheapest for a corpus of CORPUS different texts. Candidates are within bounds
+#: on 256 bits, and are then verified by the Jaccard similarity itself.
+SIMILAR_WORDS, VERIFIED_WORDS, MISSED, CORPUS = 16, 4, 0.005, 10_000_000
 
 
 def bit_bounds(similarity: float, n_words: int = VERIFIED_WORDS) -> tuple[int, int]:
-    """Bounds on the first word and on all: the mean at the similarity and three standard deviations on top."""
-    p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+    """Bounds on the first word and on all: the mean at the similarity and four standard deviations on top."""
+    p = differing(similarity)
     sd = lambda n: (n * p * (1 - p)) ** 0.5
-    return int(BITS * p + 3 * sd(BITS)), int(BITS * n_words * p + 3 * sd(BITS * n_words))
+    return int(BITS * p + 4 * sd(BITS)), int(BITS * n_words * p + 4 * sd(BITS * n_words))
 
 
-def band_plan(n: int, similarity: float) -> tuple[int, int]:
-    """(m, w) for n documents."""
-    w = max(12, int(np.ceil(np.log2(max(n, 1) / FILE_MEAN))))
-    agree = (1 - float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)) ** w
-    return int(np.ceil(np.log(MISSED) / np.log1p(-agree))), w
-
-
-def keep_one(docs: DataFrame, k: int = 5, similarity: float = 0.8, key: str = "doc_id") -> DataFrame:
+def keep_one(docs: DataFrame, k: int = 5, similarity: float = 0.8, key: str = "doc_id", n_words: int = SIMILAR_WORDS, missed: float = MISSED, corpus: int = CORPUS) -> DataFrame:
     """The input rows with one row of each group of near copies: the one of smallest key, null ones last (all columns as
     they came). Of a group's different texts of that key, the one of smallest hash stays.
 
     Near copies are texts whose sets of k-word shingles have at least the given Jaccard similarity, and a group is all that
     such pairs connect. Repeated rows of that key are one row. Texts without words are left as they are, repeated rows as one.
+    No pair below the similarity is a link. A pair at or above it is missed with a chance of at most ``missed`` by the
+    partitions and some 0.0001 by the bounds, unless other links connect its texts. ``n_words`` and ``corpus`` shape the plan:
+    much larger corpora need more words for wider partitions.
     """
-    first, full = bit_bounds(similarity)
-    m, w = band_plan(docs.count(), similarity)
     tag = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
     ids = docs.select(F.col(key).cast("long").alias("doc_id"), "text", tag.alias("tag"))
-    fps = fingerprints(ids, k, max(VERIFIED_WORDS, -(-m * w // BITS)), "tag long", (m, w), VERIFIED_WORDS, similarity)
-    fps = materialise(fps, "fingerprints")
+    fps = materialise(fingerprints(ids, k, n_words, "tag long", similarity), "fingerprints")
     ranked = fps.withColumn("doc_id", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag"))
-    groups = classes(ranked.where("n > 0"), lambda nodes: verified_links(ids, fps, similar_links(nodes, first, full).union(short_links(nodes)), k, similarity))
+
+    def find(nodes: DataFrame) -> DataFrame:
+        return verified_links(ids, fps, similar_links(nodes, similarity, n_words, missed, corpus).union(short_links(nodes)), k, similarity)
+
+    groups = classes(ranked.where("n > 0"), find)
     kept = groups.select("component_id.*").union(ranked.where("n = 0").select("doc_id.*"))
     kept = kept.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_kept")).distinct()
     rows = docs.select(F.struct("*").alias("_row"), F.col(key).cast("long").alias("_key"), tag.alias("_tag"))
