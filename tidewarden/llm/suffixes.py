@@ -10,16 +10,18 @@ before. Passes and their digits:
    meet in one bucket;
 2. the run: the bytes its windows span. A run whose bytes are those of an earlier document's run is settled as a whole;
 3. the bytes: runs that share an anchor but not all their bytes are fetched, and their suffixes are refined by eight
-   bytes at a time down to the depth, on the bytes themselves.
+   bytes at a time down to the depth, on the bytes themselves. An anchor with more than HOT such runs isn't gathered: its
+   suffixes are settled within each task first, and what is least there is dealt out by all its digits at once.
 
-Only anchors, runs and the few fetched contexts are shuffled, never suffixes. Within a chunk of text, runs equal to an
-earlier document's are settled before they are sent, so that a passage in a third of all documents sends one row a chunk.
-The anchor's hash only deals out work; a settled run agrees in two independent hashes with the earlier one.
+Only anchors, runs, the few fetched contexts and the least suffixes of hot anchors are shuffled. Within a chunk of text, runs
+equal to an earlier document's are settled before they are sent, so that a passage in a third of all documents sends one row
+a chunk. The number of buckets follows from the bytes of the texts, so that a bucket holds the runs of about BUCKET_BYTES.
+The anchor's hash only deals out work; a settled run agrees in two independent 64-bit hashes with the earlier one.
 
 Defined results: null and empty texts have no bytes and nothing removed; rows of one doc_id never match each other,
 repeated rows get the same result each; a null doc_id counts as larger than all others, and null ones don't match each
 other; an empty table gives an empty result; texts of any length are cut into overlapping slices, which changes nothing
-in the result; other columns, whatever their names, come along untouched where the operator keeps rows.
+in the result; repeated rows of a key and text ask for their contexts once; other columns, whatever their names, come along untouched where the operator keeps rows.
 """
 
 from __future__ import annotations
@@ -30,13 +32,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import materialise, slots, table
 
 DEPTH = 50
 CHUNK = 1 << 20
+#: Bytes of text a bucket; and runs to be refined that an anchor may have in one task.
+BUCKET_BYTES, HOT = 1 << 25, 1024
 LAST = (1 << 63) - 1
 BASE = 0x9E3779B97F4A7C15
 RUNS = "kind int, bucket int, doc long, tag long, start long, stop long, blob binary"
@@ -205,7 +209,9 @@ def _chunk_runs(depth: int, buckets: int, chunk: int):
 
 
 def _bucket_spans(depth: int):
-    """Passes 1 and 2 over a bucket: kind 0 spans are settled, kind 1 spans are contexts to fetch."""
+    """Passes 1 and 2 over a bucket: kind 0 spans are settled, kind 1 and 2 spans are contexts to fetch, the latter of hot
+    anchors."""
+    hot = HOT
 
     def settle(pdf: pd.DataFrame) -> pd.DataFrame:
         local = pdf[pdf["kind"] == 0]
@@ -228,15 +234,24 @@ def _bucket_spans(depth: int):
                 parts = np.unique(np.stack([group, part], axis=1), axis=0)[:, 0]  # different runs of each anchor
                 several = np.bincount(parts, minlength=n) > 1
                 ask = ~done & several[group]
-                s = {f: r[f][ask] for f in r}
-                out.append(pd.DataFrame({"kind": 1, "doc": s["doc"], "tag": s["tag"], "start": s["start"], "stop": s["start"] + s["width"] + depth, "anchor": s["anchor"].view(np.int64), "rel": s["rel"].astype(np.int32)}))
+                s, kind = {f: r[f][ask] for f in r}, np.where(np.bincount(group[ask], minlength=n) > hot, 2, 1)[group[ask]]
+                # Equal rows of a key give equal runs: one of them asks.
+                _, once = np.unique(np.stack([s["doc"], s["tag"], s["start"], s["anchor"].view(np.int64)], axis=1), axis=0, return_index=True)
+                s, kind = {f: s[f][once] for f in s}, kind[once]
+                out.append(pd.DataFrame({"kind": kind, "doc": s["doc"], "tag": s["tag"], "start": s["start"], "stop": s["start"] + s["width"] + depth, "anchor": s["anchor"].view(np.int64), "rel": s["rel"].astype(np.int32)}))
         return pd.concat(out)
 
     return settle
 
 
-def _sorted_bytes(depth: int, at_once: int = 50_000):
-    """Pass 3 over contexts sorted by anchor: suffixes refined by eight bytes a pass; spans of the repeated ones."""
+SUFFIXES = "kind int, doc long, tag long, start long, stop long, anchor long, off int, suffix binary"
+
+
+def _sorted_bytes(depth: int, at_once: int = 50_000, least: bool = False):
+    """Pass 3 over contexts sorted by anchor: suffixes refined by eight bytes a pass; spans of the repeated ones (kind 0).
+
+    least: the contexts are some of their anchors' only; the least suffixes of these come too (kind 1), with their bytes.
+    """
 
     def refine(ctx: pd.DataFrame) -> pd.DataFrame:
         data = ctx["data"].to_numpy()
@@ -255,6 +270,8 @@ def _sorted_bytes(depth: int, at_once: int = 50_000):
                     digit = (digit << np.uint64(8)) | buf[pos + at + i]
                 keys = [group, digit]
             low, group = _least(doc, *keys)
+            if least:  # others may be elsewhere
+                continue
             high = np.full(int(group.max()) + 1 if len(group) else 0, np.iinfo(np.int64).min)
             np.maximum.at(high, group, doc)
             on = high[group] > low
@@ -262,11 +279,24 @@ def _sorted_bytes(depth: int, at_once: int = 50_000):
         hit = doc > low
         start = ctx["start"].to_numpy(np.int64)[owner[hit]] + step[hit]
         a, b, c, d = _joined(doc[hit], ctx["tag"].to_numpy(np.int64)[owner[hit]], start, start + depth)
-        return pd.DataFrame({"doc": a, "tag": b, "start": c, "stop": d})
+        out = pd.DataFrame({"kind": 0, "doc": a, "tag": b, "start": c, "stop": d, "anchor": 0, "off": 0, "suffix": None})
+        if not least:
+            return out
+        own = np.nonzero(~hit)[0]
+        start, whole = ctx["start"].to_numpy(np.int64)[owner[own]] + step[own], buf.tobytes()
+        rows = pd.DataFrame({
+            "kind": 1, "doc": doc[own], "tag": ctx["tag"].to_numpy(np.int64)[owner[own]], "start": start, "stop": start + depth,
+            "anchor": ctx["anchor"].to_numpy(np.int64)[owner[own]], "off": (ctx["rel"].to_numpy(np.int64)[owner[own]] - step[own]).astype(np.int32),
+            "suffix": [whole[p : p + depth] for p in pos[own].tolist()],
+        })
+        return pd.concat([out, rows])
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: pd.DataFrame | None = None
         for batch in batches:
+            if least:
+                yield refine(batch)
+                continue
             held = batch if held is None else pd.concat([held, batch], ignore_index=True)
             if len(held) >= at_once:
                 anchor = held["anchor"].to_numpy()
@@ -280,17 +310,32 @@ def _sorted_bytes(depth: int, at_once: int = 50_000):
     return rows
 
 
+def settled_runs(keyed: DataFrame, depth: int = DEPTH, chunk: int = CHUNK) -> DataFrame:
+    """Passes 1 and 2 over documents keyed (doc, tag, data): see ``_bucket_spans``."""
+    size = keyed.agg(F.sum(F.octet_length("data"))).first()[0] or 0
+    buckets = max(2 * slots(keyed.sparkSession), -(-size // BUCKET_BYTES))
+    runs = keyed.select("doc", "tag", "data").mapInPandas(_chunk_runs(depth, buckets, chunk), RUNS)
+    return materialise(runs.groupBy("bucket").applyInPandas(_bucket_spans(depth), SPANS), "spans")
+
+
 def spans(keyed: DataFrame, depth: int = DEPTH, chunk: int = CHUNK) -> DataFrame:
     """(doc, tag, spans): flat start, stop pairs to remove, for the documents of keyed (doc, tag, data) that have any."""
-    buckets = 2 * slots(keyed.sparkSession)
-    runs = keyed.select("doc", "tag", "data").mapInPandas(_chunk_runs(depth, buckets, chunk), RUNS)
-    settled = materialise(runs.groupBy("bucket").applyInPandas(_bucket_spans(depth), SPANS), "spans")
-    asked = settled.where("kind = 1").select("doc", "tag", "start", "stop", "anchor", "rel")
-    size = (F.col("stop") - F.col("start")).cast("int")
-    ctx = asked.join(keyed.select("doc", "tag", "data"), ["doc", "tag"]).select("anchor", "rel", "doc", "tag", "start", F.substring("data", (F.col("start") + 1).cast("int"), size).alias("data"))
-    ctx = ctx.repartition("anchor").sortWithinPartitions("anchor")
-    more = ctx.mapInPandas(_sorted_bytes(depth), "doc long, tag long, start long, stop long")
-    both = settled.where("kind = 0").select("doc", "tag", "start", "stop").union(more)
+    settled = settled_runs(keyed, depth, chunk)
+
+    def contexts(kind: int) -> DataFrame:
+        asked = settled.where(F.col("kind") == kind).select("doc", "tag", "start", "stop", "anchor", "rel")
+        data = F.substring("data", (F.col("start") + 1).cast("int"), (F.col("stop") - F.col("start")).cast("int"))
+        return asked.join(keyed.select("doc", "tag", "data"), ["doc", "tag"]).select("anchor", "rel", "doc", "tag", "start", data.alias("data"))
+
+    span = ["doc", "tag", "start", "stop"]
+    some = contexts(1).repartition("anchor").sortWithinPartitions("anchor").mapInPandas(_sorted_bytes(depth), SUFFIXES)
+    both = settled.where("kind = 0").select(span).union(some.select(span))
+    if not settled.where("kind = 2").isEmpty():
+        # Hot anchors: what a task can settle is settled there, and each least suffix goes to the task of its own bytes.
+        hot = materialise(contexts(2).mapInPandas(_sorted_bytes(depth, least=True), SUFFIXES), "hot")
+        low = F.min("doc").over(Window.partitionBy("anchor", "off", "suffix"))
+        more = hot.where("kind = 1").withColumn("_low", low).where("doc > _low")
+        both = both.union(hot.where("kind = 0").select(span)).union(more.select(span))
     return both.groupBy("doc", "tag").agg(F.flatten(F.collect_list(F.array("start", "stop"))).alias("spans"))
 
 
