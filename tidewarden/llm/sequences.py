@@ -11,7 +11,9 @@ one count a task reaches the driver.
 
 Defined results: null texts are empty and give the closing id alone; null keys don't matter, as order comes from the
 input's tasks; an empty table writes an empty manifest and no shard; repeated rows are written each; other columns are
-not read. The input must split alike in both passes, as files do: materialise others first.
+not read. The input must split alike in both passes, as files do: materialise others first; a task that finds another split
+raises. Writing to a place that is in use replaces its manifest, keeps shards whose bytes are what would be written, and
+writes the others anew.
 """
 
 from __future__ import annotations
@@ -96,14 +98,18 @@ def write_shards(docs: DataFrame, uri: str, length: int = LENGTH, per_shard: int
     counts = sorted((r.task, r.n) for r in texts.mapInPandas(count, "task int, n long").collect())  # one number a task
     first, total = {}, 0
     for task, n in counts:
-        first[task], total = total, total + n
+        first[task], total = (total, total + n), total + n
     target, root = fs.FileSystem.from_uri(uri)
     target.create_dir(root, recursive=True)
     with target.open_output_stream(f"{root}/manifest.json") as f:
         f.write(json.dumps({"sequences": total, "length": length, "bytes_per_id": bytes_per_id, "per_shard": per_shard, "key": key, "rounds": ROUNDS}).encode())
 
     def sequences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, rows = first.get(TaskContext.get().partitionId(), 0), []
+        task = TaskContext.get().partitionId()
+        if task not in first:
+            raise RuntimeError(f"task {task} had no rows when sequences were counted: the input was split in another way")
+        begin, stop = first[task]
+        at, rows = begin, []
 
         def frame() -> pd.DataFrame:
             out = pd.DataFrame(rows, columns=["sequence_id", "n_tokens", "ids_crc32", "ids"])
@@ -119,6 +125,8 @@ def write_shards(docs: DataFrame, uri: str, length: int = LENGTH, per_shard: int
                 rows = []
         if rows:
             yield frame()
+        if at != stop:
+            raise RuntimeError(f"task {task} made {at - begin} sequences where {stop - begin} were counted: the input was split in another way")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out_fs, out_root = fs.FileSystem.from_uri(uri)
