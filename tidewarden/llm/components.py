@@ -3,17 +3,36 @@
 Every round is two grouped minima and two joins on DataFrames, written to the shared folder, so that nothing but a count
 and a checksum reaches the driver and lost executors cost one round at most. The number of rounds grows with the logarithm
 of the longest chain. A node with very many links is a hot join key that adaptive execution splits; its minimum is
-aggregated partially before any shuffle.
+aggregated partially before any shuffle. Rounds run on as many partitions as the links need, not on the session's number:
+links are few beside the documents, and a round of very many tiny tasks costs the driver more than the links do.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialise
 
 
+#: Links a partition: two longs each, some megabytes.
+LINKS_A_TASK = 250_000
+
+
+@contextmanager
+def partitions(spark: SparkSession, n: int) -> Iterator[None]:
+    """Shuffles inside have n partitions."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def _state(edges: DataFrame) -> tuple[int, int]:
     r = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
     return r.n, int(r.h or 0)
@@ -23,8 +42,16 @@ def components(links: DataFrame) -> DataFrame:
     """links (a long, b long) -> (node, root) for every node that has a link; root is the smallest node of its component."""
     edges = links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges = materialise(edges, "links")
-    before = _state(edges)
-    while before[0]:
+    n = edges.count()
+    with partitions(edges.sparkSession, max(1, -(-n // LINKS_A_TASK))):
+        edges = _contracted(edges) if n else edges
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select("b", "b").distinct())
+
+
+def _contracted(edges: DataFrame) -> DataFrame:
+    """The links (larger, smaller) as stars around each component's smallest node."""
+    before = None
+    while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         star = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
@@ -34,6 +61,5 @@ def components(links: DataFrame) -> DataFrame:
         edges = materialise(near.union(low.select("a", F.col("m").alias("b"))).distinct(), "links")
         after = _state(edges)
         if after == before:
-            break
+            return edges
         before = after
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select("b", "b").distinct())

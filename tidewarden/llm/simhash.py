@@ -353,7 +353,8 @@ def bit_counts(nodes: DataFrame, n_words: int = 1) -> tuple[np.ndarray, int]:
         yield pd.DataFrame({"part": [0], "c": [total.tobytes()]})
 
     kind, flat = "part int, c binary", np.zeros(size + 1, np.int64)
-    for r in nodes.select(F.slice("fp", 1, n_words).alias("fp")).mapInPandas(partial, kind).repartition(64, "part").mapInPandas(added, kind).collect():  # 64 rows
+    sums = nodes.select(F.slice("fp", 1, n_words).alias("fp")).mapInPandas(partial, kind).repartition(16, "part").mapInPandas(added, kind)
+    for r in sums.repartition(1).mapInPandas(added, kind).collect():  # one row
         flat += np.frombuffer(bytes(r.c), np.int64)
     return flat[:-1].reshape(n_words, BITS, BITS).astype(float), int(flat[-1])
 
