@@ -40,7 +40,7 @@ from .common import materialise, slots, table
 DEPTH = 50
 CHUNK = 1 << 20
 #: Bytes of text a bucket; and runs to be refined that an anchor may have in one task.
-BUCKET_BYTES, HOT = 1 << 25, 1024
+BUCKET_BYTES, HOT = 1 << 25, 1 << 15
 LAST = (1 << 63) - 1
 BASE = 0x9E3779B97F4A7C15
 RUNS = "kind int, bucket int, doc long, tag long, start long, stop long, blob binary"
