@@ -3,15 +3,17 @@
 Counting: workers turn chunks of whole training texts into sorted unique n-grams with counts, packed by columns into one
 row for each chunk and bucket, and a bucket's task merges them: what is shuffled grows with the distinct n-grams a chunk,
 not with tokens, and a very frequent word or n-gram is one entry a chunk. First the vocabulary is counted, in ranges of
-the 64-bit word hash, and a word's id is its rank; then the highest order; every lower order counts the distinct left
+the 64-bit word hash, and a word's id follows from its range and its rank by frequency there, so that frequent words have
+small ids and n-grams pack well; then the highest order; every lower order counts the distinct left
 extensions that the order above it found. Count-of-counts for the discounts are sums over buckets. Nothing is pruned or
 capped, so the model grows with the corpus. All orders are one chain of shuffles: a bucket's task writes its shard and
 hands the next lower order on, and nothing is written twice. The number of buckets follows from the bytes of the texts, so
 that a bucket's task holds the n-grams of about BUCKET_BYTES of text, at any size of the corpus.
 
-Storage: a bucket's task writes one shard into the shared folder: sorted n-gram hashes with counts of one byte (larger
-counts stand in a second sorted array), and sorted context hashes with totals and the numbers of words seen once, twice
-and more often, each in the narrowest type that holds them. A shard has a fixed name and is renamed into place, so that
+Storage: a bucket's task writes one shard into the shared folder: sorted n-gram hashes with counts of one byte, and sorted
+context hashes with totals and the numbers of words seen once, twice and more often, of a byte each; rows with larger
+numbers stand in a second, sorted array. A hash's first bits are the cell that it stands in and 40 more bits are stored,
+so that a lookup is a short bisection inside a cell, and mistakes an unseen n-gram for a seen one once in 10^10. A shard has a fixed name and is renamed into place, so that
 repeated tasks are harmless. Workers map shards on first use; of a store without local paths a shard is read into memory,
 where the last used ones stay, up to HELD_BYTES.
 
@@ -89,22 +91,45 @@ def unpack(blob: bytes) -> list[np.ndarray]:
     return out
 
 
+def packed_rows(columns: list[np.ndarray], counts: np.ndarray, bits: int) -> bytes:
+    """Rows in order of their columns; narrow ones as one number, whose steps are small."""
+    if len(columns) > 1 and bits * len(columns) <= 64:
+        columns = [one_number(columns, bits)]
+    return pack(*columns, counts.astype(np.min_scalar_type(int(counts.max(initial=0)))))
+
+
+def unpacked_rows(blob: bytes, m: int, bits: int) -> list[np.ndarray]:
+    """The m columns and the counts of ``packed_rows``."""
+    *columns, counts = unpack(blob)
+    return [*(several(columns[0], m, bits) if len(columns) < m else columns), counts]
+
+
+def one_number(columns: list[np.ndarray], bits: int) -> np.ndarray:
+    key = columns[0].astype(np.uint64)
+    for c in columns[1:]:
+        key = key << np.uint64(bits) | c.astype(np.uint64)
+    return key
+
+
+def several(key: np.ndarray, m: int, bits: int) -> list[np.ndarray]:
+    low = np.uint64((1 << bits) - 1)
+    return [key >> np.uint64(bits * i) & low for i in range(m - 1, -1, -1)]
+
+
 def summed(columns: list[np.ndarray], counts: np.ndarray, bits: int = 64) -> tuple[list[np.ndarray], np.ndarray]:
     """Distinct rows in order of their columns, with summed counts. bits: what a value needs at most; narrow rows are sorted
     as one number."""
     if len(columns) > 1 and bits * len(columns) <= 64:
-        key = columns[0].astype(np.uint64)
-        for c in columns[1:]:
-            key = key << np.uint64(bits) | c.astype(np.uint64)
-        (key,), counts = summed([key], counts)
-        low = np.uint64((1 << bits) - 1)
-        return [(key >> np.uint64(bits * i) & low) for i in range(len(columns) - 1, -1, -1)], counts
+        (key,), counts = summed([one_number(columns, bits)], counts)
+        return several(key, len(columns), bits), counts
     if len(columns) == 1:
         order = np.argsort(columns[0], kind="quicksort")
         columns, counts = [columns[0][order]], counts[order]
         i = np.nonzero(np.concatenate([[True], columns[0][1:] != columns[0][:-1]]))[0] if len(order) else order
         return [columns[0][i]], np.add.reduceat(counts, i) if len(i) else counts
-    order = np.lexsort(columns[::-1])
+    # Two columns of up to 32 bits are one key.
+    keys = [one_number(columns[i : i + 2], 32) for i in range(0, len(columns), 2)] if bits <= 32 else columns
+    order = np.lexsort(keys[::-1])
     columns, counts = [c[order] for c in columns], counts[order]
     new = np.zeros(len(order), bool)
     new[:1] = True
@@ -117,7 +142,7 @@ def summed(columns: list[np.ndarray], counts: np.ndarray, bits: int = 64) -> tup
 def write_shard(uri: str, name: str, arrays: dict[str, np.ndarray]) -> None:
     out, root = fs.FileSystem.from_uri(uri)
     temporary = f"{root}/{name}.{TaskContext.get().taskAttemptId()}.tmp"
-    head = ";".join(f"{k},{a.dtype.str},{len(a)}" for k, a in arrays.items()).encode().ljust(248)
+    head = ";".join(f"{k},{a.dtype.str},{len(a)}" for k, a in arrays.items()).encode().ljust(1016)
     with out.open_output_stream(temporary) as f:
         f.write(len(head).to_bytes(8, "little") + head)
         for a in arrays.values():
@@ -164,6 +189,61 @@ def narrow(a: np.ndarray) -> np.ndarray:
     return a.astype(np.min_scalar_type(int(a.max(initial=0))))
 
 
+STORED = 40
+
+
+def celled(name: str, h: np.ndarray) -> dict[str, np.ndarray]:
+    """Sorted hashes as cells of about 16: where each begins, and STORED bits of each hash after those of its cell."""
+    k = min(24, max(0, len(h).bit_length() - 5))
+    t = h >> np.uint64(64 - k - STORED)
+    at = np.searchsorted(t >> np.uint64(STORED), np.arange((1 << k) + 1, dtype=np.uint64))
+    return {f"{name}_at": at.astype(np.uint32 if len(h) < 1 << 32 else np.uint64), f"{name}_high": (t >> np.uint64(8)).astype(np.uint32), f"{name}_low": t.astype(np.uint8)}
+
+
+def in_cells(shard: dict[str, np.ndarray], name: str, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, hit) of each wanted hash."""
+    at, high, low = shard[f"{name}_at"], shard[f"{name}_high"], shard[f"{name}_low"]
+    if not len(high):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    k = (len(at) - 1).bit_length() - 1
+    t = wanted >> np.uint64(64 - k - STORED)
+    cell = (t >> np.uint64(STORED)).astype(np.int64)
+    rest = t & np.uint64((1 << STORED) - 1)
+    a, end = at[cell].astype(np.int64), at[cell + 1].astype(np.int64)
+    b, last = end.copy(), len(high) - 1
+
+    def stored(i: np.ndarray) -> np.ndarray:
+        i = np.minimum(i, last)
+        return high[i].astype(np.uint64) << np.uint64(8) | low[i]
+
+    while (a < b).any():
+        mid = (a + b) >> 1
+        less = (stored(mid) < rest) & (a < b)
+        b = np.where(less, b, np.minimum(mid, b))
+        a = np.where(less, mid + 1, a)
+    return np.minimum(a, last), (a < end) & (stored(a) == rest)
+
+
+def in_bytes(name: str, *columns: np.ndarray) -> dict[str, np.ndarray]:
+    """Numbers as a byte each; of rows with larger ones the places and the numbers, and 255 in the first column."""
+    big = np.nonzero(np.max(columns, axis=0) >= 255)[0]
+    first = np.where(np.max(columns, axis=0) >= 255, 255, columns[0])
+    small = [np.minimum(c, 255).astype(np.uint8) for c in (first, *columns[1:])]
+    out = {f"{name}{i}": c for i, c in enumerate(small)} | {f"{name}_big": big.astype(np.uint64)}
+    return out | {f"{name}_big{i}": c[big].astype(np.uint64) for i, c in enumerate(columns)}
+
+
+def of_bytes(shard: dict[str, np.ndarray], name: str, n: int, at: np.ndarray) -> list[np.ndarray]:
+    """The n numbers of the rows at these places."""
+    out = [shard[f"{name}{i}"][at].astype(np.int64) for i in range(n)]
+    big = np.nonzero(out[0] == 255)[0]
+    if len(big):
+        j = np.searchsorted(shard[f"{name}_big"], at[big])
+        for i in range(n):
+            out[i][big] = shard[f"{name}_big{i}"][j]
+    return out
+
+
 def found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(place, hit) of each wanted value in sorted keys."""
     if not len(keys):
@@ -208,12 +288,15 @@ def chunks(batches: Iterator[pd.DataFrame], size: int = CHUNK) -> Iterator[tuple
 
 @dataclass
 class Model:
-    """What workers need: places of the shards, id bases, totals and discounts. A few numbers a bucket."""
+    """What workers need: places of the shards, totals and discounts. A few numbers a bucket.
+
+    Of rank r in bucket b, the id is r * buckets + b.
+    """
 
     uri: str
     order: int
     buckets: int
-    bases: np.ndarray
+    sizes: np.ndarray
     vocabulary: int
     tokens: int
     discounts: dict[int, np.ndarray] = field(default_factory=dict)
@@ -223,29 +306,29 @@ class Model:
     @property
     def bits(self) -> int:
         """What an id needs."""
-        return (self.vocabulary + 1).bit_length()
+        return self.unknown.bit_length()
 
     @property
     def start(self) -> int:
-        return self.vocabulary
+        return int(self.sizes.max(initial=0)) * self.buckets
 
     @property
     def unknown(self) -> int:
-        return self.vocabulary + 1
+        return self.start + 1
 
     def ids(self, hashes: np.ndarray, *fields: str) -> tuple[np.ndarray, ...]:
         """Ids of words, and further fields of the vocabulary (0 for unknown words)."""
         words, back = np.unique(hashes, return_inverse=True)
         out = [np.full(len(words), self.unknown, np.int64)] + [np.zeros(len(words), np.int64) for _ in fields]
         for b, rows in by_bucket(hash_range(words, self.buckets), self.buckets):
-            if self.bases[b] == self.bases[b + 1]:
+            if not self.sizes[b]:
                 continue
             shard = read_shard(self.uri, f"words-{b:06d}")
             i, hit = found(shard["hash"], words[rows])
-            out[0][rows[hit]] = self.bases[b] + i[hit]
+            rank = shard["rank"][i[hit]].astype(np.int64)
+            out[0][rows[hit]] = rank * self.buckets + b
             for o, f in zip(out[1:], fields):
-                a = shard[f] if f in shard else read_shard(self.uri, f"before-{b:06d}")[f]
-                o[rows[hit]] = a[i[hit]]
+                o[rows[hit]] = shard[f][i[hit]] if f in shard else read_shard(self.uri, f"before-{b:06d}")[f][rank]
         return tuple(o[back] for o in out)
 
 
@@ -262,7 +345,7 @@ def histories(ids: np.ndarray, lengths: np.ndarray, order: int, start: int) -> l
 
 def _count_words(buckets: int):
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for _, h, _ in chunks(batches):
+        for _, h, _ in chunks(batches, 4 * CHUNK):
             words, n = np.unique(h, return_counts=True)
             made = [(0, b, pack(words[r], n[r].astype(np.uint32))) for b, r in by_bucket(hash_range(words, buckets), buckets)]
             yield pd.DataFrame(made, columns=["kind", "bucket", "blob"])
@@ -275,7 +358,9 @@ def _write_words(uri: str):
         b = int(pdf["bucket"].iloc[0])
         parts = [unpack(x) for x in pdf["blob"]]
         (words,), n = summed([np.concatenate([p[0] for p in parts])], np.concatenate([p[1] for p in parts]).astype(np.int64))
-        write_shard(uri, f"words-{b:06d}", {"hash": words, "count": n})
+        rank = np.empty(len(n), np.int64)
+        rank[np.argsort(-n, kind="stable")] = np.arange(len(n))
+        write_shard(uri, f"words-{b:06d}", {"hash": words, "count": narrow(n), "rank": narrow(rank)})
         return pd.DataFrame({"bucket": [b], "words": [len(words)], "tokens": [int(n.sum())]})
 
     return merge
@@ -284,10 +369,10 @@ def _write_words(uri: str):
 def _blobs(columns: list[np.ndarray], counts: np.ndarray, model: Model) -> list[tuple[int, int, bytes]]:
     """Distinct n-grams of one order, packed by bucket: by context, or by the word itself for the lowest order."""
     if len(columns) == 1:
-        bucket = np.searchsorted(model.bases, columns[0], side="right") - 1
+        bucket = columns[0].astype(np.int64) % model.buckets
     else:
         bucket = (context_hash(columns[:-1]) % np.uint64(model.buckets)).astype(np.int64)
-    return [(len(columns), b, pack(*[c[r].astype(np.uint32) for c in columns], counts[r].astype(np.uint32))) for b, r in by_bucket(bucket, model.buckets)]
+    return [(len(columns), b, packed_rows([c[r].astype(np.uint32) for c in columns], counts[r], model.bits)) for b, r in by_bucket(bucket, model.buckets)]
 
 
 def _count_ngrams(model: Model):
@@ -310,26 +395,26 @@ def _write_ngrams(model: Model):
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         b = int(pdf["bucket"].iloc[0])
         told = list(pdf[pdf["kind"] < 0].itertuples(index=False, name=None))
-        parts = [unpack(x) for x in pdf.loc[pdf["kind"] > 0, "blob"]]
-        if not parts:
+        blobs = pdf[pdf["kind"] > 0]
+        if not len(blobs):
             return pd.DataFrame(told, columns=["kind", "bucket", "blob"])
-        m = len(parts[0]) - 1
-        columns, n = [np.concatenate([p[i] for p in parts]) for i in range(m)], np.concatenate([p[m] for p in parts]).astype(np.int64)
-        del parts, pdf
+        m = int(blobs["kind"].iloc[0])
+        parts = [unpacked_rows(x, m, model.bits) for x in blobs["blob"]]
+        columns, n = [np.concatenate([p[i] for p in parts]) for i in range(m)], np.concatenate([p[m].astype(np.int64) for p in parts])
+        del parts, pdf, blobs
         columns, n = summed(columns, n, model.bits)
         contexts = context_hash(columns[:-1])
         hashes = pair_hash(contexts, columns[-1])
         o = np.argsort(hashes)
-        large = o[n[o] >= 255]
-        arrays = {"hash": hashes[o], "count": np.minimum(n[o], 255).astype(np.uint8), "large": hashes[large], "large_n": n[large].astype(np.uint64)}
+        arrays = celled("hash", hashes[o]) | in_bytes("count", n[o])
         o = np.argsort(contexts, kind="stable")
         contexts, at = contexts[o], n[o]
         i = np.nonzero(np.concatenate([[True], contexts[1:] != contexts[:-1]]))[0]
-        arrays |= {"context": contexts[i], "total": narrow(np.add.reduceat(at, i))}
-        arrays |= {f"n{k}": narrow(np.add.reduceat(((at == k) if k < 3 else (at >= 3)).astype(np.int64), i)) for k in (1, 2, 3)}
+        seen = [np.add.reduceat(((at == k) if k < 3 else (at >= 3)).astype(np.int64), i) for k in (1, 2, 3)]
+        arrays |= celled("context", contexts[i]) | in_bytes("sums", np.add.reduceat(at, i), *seen)
         write_shard(model.uri, f"order-{m}-{b:06d}", arrays)
         told.append((-m, b, _numbers(*[(n == k).sum() for k in (1, 2, 3, 4)])))
-        del arrays, contexts, hashes, at, o
+        del arrays, contexts, hashes, at, o, seen
         shorter, left = summed(columns[1:], np.ones(len(n), np.int64), model.bits)
         return pd.DataFrame([*told, *_blobs(shorter, left, model)], columns=["kind", "bucket", "blob"])
 
@@ -342,11 +427,11 @@ def _write_before(model: Model):
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         b = int(pdf["bucket"].iloc[0])
         told = list(pdf[pdf["kind"] < 0].itertuples(index=False, name=None))
-        parts = [unpack(x) for x in pdf.loc[pdf["kind"] > 0, "blob"]]
+        parts = [unpacked_rows(x, 1, model.bits) for x in pdf.loc[pdf["kind"] > 0, "blob"]]
         if parts:
             (ids,), n = summed([np.concatenate([p[0] for p in parts])], np.concatenate([p[1] for p in parts]).astype(np.int64))
-            dense = np.zeros(int(model.bases[b + 1] - model.bases[b]), np.int64)
-            dense[ids.astype(np.int64) - model.bases[b]] = n
+            dense = np.zeros(int(model.sizes[b]), np.int64)
+            dense[ids.astype(np.int64) // model.buckets] = n
             write_shard(model.uri, f"before-{b:06d}", {"before": narrow(dense)})
             told.append((-1, b, _numbers(*[(n == k).sum() for k in (1, 2, 3, 4)], n.sum(), len(n))))
         return pd.DataFrame(told, columns=["kind", "bucket", "blob"])
@@ -388,7 +473,7 @@ def train(texts: DataFrame, order: int = ORDER, bucket_bytes: int = BUCKET_BYTES
     sizes = np.zeros(buckets, np.int64)
     for r in counted:  # one row a bucket
         sizes[r.bucket] = r.words
-    model = Model(uri, order, buckets, np.concatenate([[0], np.cumsum(sizes)]), int(sizes.sum()), sum(r.tokens for r in counted))
+    model = Model(uri, order, buckets, sizes, int(sizes.sum()), sum(r.tokens for r in counted))
     blobs = texts.mapInPandas(_count_ngrams(model), BLOBS)
     for _ in range(order, 1, -1):
         blobs = merged(blobs, _write_ngrams(model), BLOBS)
@@ -422,21 +507,17 @@ def token_log10(model: Model, hashes: np.ndarray, lengths: np.ndarray) -> tuple[
             except FileNotFoundError:  # no n-gram fell into this bucket
                 continue
             ctx, back = np.unique(context[r], return_inverse=True)
-            i, hit = found(shard["context"], ctx)
+            i, hit = in_cells(shard, "context", ctx)
             i, hit = i[back], hit[back]
             r, i = r[hit], i[hit]
             if not len(r):
                 continue
-            t = shard["total"][i].astype(float)
-            back_off = (d[1] * shard["n1"][i] + d[2] * shard["n2"][i] + d[3] * shard["n3"][i]) / t
+            t, *seen = of_bytes(shard, "sums", 4, i)
+            back_off = (d[1] * seen[0] + d[2] * seen[1] + d[3] * seen[2]) / t
             o = np.argsort(key[r])  # sorted probes walk the mapped pages once
-            j, known = found(shard["hash"], key[r[o]])
-            n = np.where(known, shard["count"][j], 0).astype(np.int64)
-            if (big := n == 255).any():
-                k, hit = found(shard["large"], key[r[o[big]]])
-                n[big] = np.where(hit, shard["large_n"][k], 255)
+            j, known = in_cells(shard, "hash", key[r[o]])
             c = np.empty(len(r), np.int64)
-            c[o] = n
+            c[o] = np.where(known, of_bytes(shard, "count", 1, j)[0], 0)
             p[r] = np.maximum(c - d[np.minimum(c, 3)], 0) / t + back_off * p[r]
     return np.log10(p), count
 
