@@ -224,18 +224,20 @@ def in_cells(shard: dict[str, np.ndarray], name: str, wanted: np.ndarray) -> tup
     return np.minimum(a, last), (a < end) & (stored(a) == rest)
 
 
-def in_bytes(name: str, *columns: np.ndarray) -> dict[str, np.ndarray]:
-    """Numbers as a byte each; of rows with larger ones the places and the numbers, and 255 in the first column."""
-    big = np.nonzero(np.max(columns, axis=0) >= 255)[0]
-    first = np.where(np.max(columns, axis=0) >= 255, 255, columns[0])
-    small = [np.minimum(c, 255).astype(np.uint8) for c in (first, *columns[1:])]
-    out = {f"{name}{i}": c for i, c in enumerate(small)} | {f"{name}_big": big.astype(np.uint64)}
-    return out | {f"{name}_big{i}": c[big].astype(np.uint64) for i, c in enumerate(columns)}
+def in_bytes(name: str, *columns: np.ndarray, stored: int = 1, whole: np.ndarray | None = None) -> dict[str, np.ndarray]:
+    """The first ``stored`` columns as a byte each; of rows with larger numbers, and of those marked ``whole``, the places and
+    all numbers, and 255 in the first column."""
+    large = np.max(columns, axis=0) >= 255
+    large = large if whole is None else large | whole
+    small = [np.minimum(c, 255).astype(np.uint8) for c in (np.where(large, 255, columns[0]), *columns[1:stored])]
+    big = np.nonzero(large)[0]
+    out = {f"{name}{i}": c for i, c in enumerate(small)} | {f"{name}_big": narrow(big)}
+    return out | {f"{name}_big{i}": narrow(c[big]) for i, c in enumerate(columns)}
 
 
 def of_bytes(shard: dict[str, np.ndarray], name: str, n: int, at: np.ndarray) -> list[np.ndarray]:
-    """The n numbers of the rows at these places."""
-    out = [shard[f"{name}{i}"][at].astype(np.int64) for i in range(n)]
+    """The n numbers of the rows at these places; zero where a column isn't stored for the row."""
+    out = [shard[f"{name}{i}"][at].astype(np.int64) if f"{name}{i}" in shard else np.zeros(len(at), np.int64) for i in range(n)]
     big = np.nonzero(out[0] == 255)[0]
     if len(big):
         j = np.searchsorted(shard[f"{name}_big"], at[big])
@@ -411,7 +413,8 @@ def _write_ngrams(model: Model):
         contexts, at = contexts[o], n[o]
         i = np.nonzero(np.concatenate([[True], contexts[1:] != contexts[:-1]]))[0]
         seen = [np.add.reduceat(((at == k) if k < 3 else (at >= 3)).astype(np.int64), i) for k in (1, 2, 3)]
-        arrays |= celled("context", contexts[i]) | in_bytes("sums", np.add.reduceat(at, i), *seen)
+        # Without words seen more than twice, the total follows from the others.
+        arrays |= celled("context", contexts[i]) | in_bytes("sums", seen[0], seen[1], seen[2], np.add.reduceat(at, i), stored=2, whole=seen[2] > 0)
         write_shard(model.uri, f"order-{m}-{b:06d}", arrays)
         told.append((-m, b, _numbers(*[(n == k).sum() for k in (1, 2, 3, 4)])))
         del arrays, contexts, hashes, at, o, seen
@@ -512,7 +515,8 @@ def token_log10(model: Model, hashes: np.ndarray, lengths: np.ndarray) -> tuple[
             r, i = r[hit], i[hit]
             if not len(r):
                 continue
-            t, *seen = of_bytes(shard, "sums", 4, i)
+            *seen, t = of_bytes(shard, "sums", 4, i)
+            t = np.where(seen[2] > 0, t, seen[0] + 2 * seen[1])
             back_off = (d[1] * seen[0] + d[2] * seen[1] + d[3] * seen[2]) / t
             o = np.argsort(key[r])  # sorted probes walk the mapped pages once
             j, known = in_cells(shard, "hash", key[r[o]])
