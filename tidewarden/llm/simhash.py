@@ -637,11 +637,12 @@ def keep_one(docs: DataFrame, k: int = 5, similarity: float = 0.8, key: str = "d
 
     groups = classes(ranked.where("n > 0"), find)
     kept = groups.select("component_id.*").union(ranked.where("n = 0").select("doc_id.*"))
-    kept = kept.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_kept")).distinct()
-    rows = docs.select(F.struct("*").alias("_row"), F.col(key).cast("long").alias("_key"), tag.alias("_tag"))
-    rows = rows.join(kept, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_tag") == F.col("_kept")), "left_semi")
-    nth = F.row_number().over(Window.partitionBy("_key", "_tag").orderBy(F.lit(0)))
-    return rows.withColumn("_n", nth).where("_n = 1").select("_row.*")
+    # Plain keys, so that the rows are dealt out once for both: repeated ones go before the shuffle, and no key is hot after it.
+    at, given = ["_none", "_key", "_tag"], F.col(key).cast("long")
+    kept = kept.select(F.col("doc_id").isNull().alias("_none"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("_key"), F.col("tag").alias("_tag")).distinct()
+    rows = docs.select(F.struct("*").alias("_row"), given.isNull().alias("_none"), F.coalesce(given, F.lit(0).cast("long")).alias("_key"), tag.alias("_tag"))
+    nth = F.row_number().over(Window.partitionBy(*at).orderBy(F.lit(0)))
+    return rows.withColumn("_n", nth).where("_n = 1").join(kept, at, "left_semi").select("_row.*")
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
