@@ -526,11 +526,11 @@ def test_one_near_copy_stays_of_null_and_repeated_keys(spark):
     assert {r.text.strip() for r in got if r.doc_id is None} & set(a) and all(r.text in b for r in got if r.doc_id == 7)
 
 
-@pytest.mark.parametrize("seed", range(2))
-def test_components(spark, seed):
+@pytest.mark.parametrize("seed, links_a_task", [(0, components.LINKS_A_TASK), (1, components.LINKS_A_TASK), (0, 40), (1, 300)])
+def test_components(spark, seed, links_a_task):
     rng = np.random.default_rng(seed)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 400, (250, 2))] + [(i, i + 1) for i in range(1000, 1120)] + [(2000, i) for i in range(2001, 2200)]
-    got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long"), links_a_task).collect()}
     label = {x: x for e in edges for x in e}
     changed = True
     while changed:

@@ -52,9 +52,14 @@ def _quick(path: str):
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+@functools.lru_cache(maxsize=2)
 def quick_is_equal(path: str) -> bool:
-    """Whether the fast encoder is there and gives the vocabulary's ids for the probe; asked once, on the driver."""
-    return _quick(path) is not None and _quick(path).encode_ordinary(PROBE) == _slow(path, PROBE).tolist()
+    """Whether the fast encoder is there and gives the vocabulary's ids for the probe; asked once, on the driver, which keeps neither encoder."""
+    try:
+        return _quick(path) is not None and _quick(path).encode_ordinary(PROBE) == _slow(path, PROBE).tolist()
+    finally:
+        _quick.cache_clear()
+        _full.cache_clear()
 
 
 def encoder(path: str, quick: bool):
