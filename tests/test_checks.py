@@ -1,5 +1,7 @@
 """Checks on small series: clause by clause."""
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -324,6 +326,20 @@ def test_polygons_equal_ray_casting(spark, cell):
     assert joins.in_polygons(df, polygons.limit(0)).where("region IS NOT NULL").count() == 0
 
 
+def test_polygons_with_edges_in_any_order(spark):
+    """Edges come in another order each time that they are read, as collect_list after a shuffle gives them."""
+    corners = [(0.0, 0.0), (3.5, 0.5), (4.0, 4.0), (2.0, 2.5), (0.5, 3.5)]
+    edges = [("a", *corners[i], *corners[(i + 1) % 5]) for i in range(5)]
+    edge = "struct<x1:double,y1:double,x2:double,y2:double>"
+    mixed = F.udf(lambda e: random.sample(e, len(e)), f"array<{edge}>").asNondeterministic()
+    rings = spark.createDataFrame(edges, "region string, x1 double, y1 double, x2 double, y2 double").groupBy("region").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("e"))
+    df = spark.range(400).select(F.col("id").alias("iot_id"), (F.col("id") % 20 * 0.23 - 0.11).alias("longitude"), (F.floor(F.col("id") / 20) * 0.23 - 0.11).alias("latitude"))
+    want = by_id(joins.in_polygons(df, rings.select("region", F.col("e").alias("edges"))), "region")
+    assert sum(x is not None for x in want.values()) > 100
+    for _ in range(3):
+        assert by_id(joins.in_polygons(df, rings.select("region", mixed("e").alias("edges"))), "region") == want
+
+
 def test_empty_tables(spark):
     df = table(spark).limit(0)
     assert checks.with_gradient(df, "datastream_id").count() == 0

@@ -34,9 +34,11 @@ def _cells_of(polygons: DataFrame, cell: float, name: str) -> DataFrame:
     """(_i, _j, _near: array of (name, odd, edges)): of each cell, the polygons that pass or cover it.
 
     odd: whether the cell's reference point is inside; edges: those that may meet the cell. An edge is filed row by row of
-    cells, under the cells between its ends there, so that a border of very many edges is spread over its cells.
+    cells, under the cells between its ends there, so that a border of very many edges is spread over its cells. Polygons
+    are read twice here, and edges that a shuffle gathered come in another order each time: they are told apart by sorted edges.
     """
-    one = polygons.select(F.col(name).alias("name"), "edges", F.xxhash64("edges").alias("_p")).dropDuplicates(["name", "_p"])
+    one = polygons.select(F.col(name).alias("name"), F.sort_array("edges").alias("edges"))
+    one = one.withColumn("_p", F.xxhash64("edges")).dropDuplicates(["name", "_p"])
     e = one.select("name", "_p", F.explode("edges").alias("e")).select("name", "_p", *[F.col(f"e.{c}").cast("double").alias(c) for c in ("x1", "y1", "x2", "y2")])
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
     e = e.withColumn("_j", F.explode(F.sequence(F.floor(low / cell), F.floor(high / cell))))
