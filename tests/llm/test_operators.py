@@ -293,6 +293,45 @@ def test_sequences_replace_those_of_another_corpus(spark):
         assert [zlib.crc32(r[:n].astype("<u4").tobytes()) for r, n in zip(rows, out.n_tokens)] == out.ids_crc32.tolist()
 
 
+def changing(docs, marker):
+    """docs, whose texts become others of as many rows once the marker is there, and whose last row is missing once it says so."""
+    return docs.mapInPandas(lambda bs: (b if not marker.exists() else b[b.doc_id < 19] if marker.read_text() else b.assign(text="two") for b in bs), docs.schema)
+
+
+def test_sequences_are_tokenised_once(spark, monkeypatch, tmp_path):
+    kept, marker, folder = tmp_path / "kept", tmp_path / "marker", new_path(spark, "test")
+    monkeypatch.setattr(sequences, "new_path", lambda spark, label: f"file://{kept}")
+    docs = changing(make(spark, [(i, "one " * (100 + i)) for i in range(20)]), marker)
+    lazy = sequences.write_shards(docs, folder, length=16, per_shard=8)
+    assert any(kept.iterdir())
+    marker.touch()
+    out = lazy.toPandas().sort_values("sequence_id")  # ids of the first reading, as the second doesn't tokenise
+    rows = list(sequences.read_slots(folder))
+    stream = np.concatenate([rows[s][:n] for s, n in zip(out.slot, out.n_tokens)])
+    assert Counter(stream.tolist()) == Counter(i for x in plain_ids(["one " * (100 + i) for i in range(20)]) for i in [*x, 0])
+    assert not any(kept.iterdir())
+    with pytest.raises(Exception, match="split in another way"):  # used up: tokenised anew, and not what was counted
+        lazy.select("*").toPandas()
+    marker.unlink()
+    assert lazy.select("*").toPandas().sort_values("sequence_id").reset_index(drop=True).equals(out.reset_index(drop=True))
+    lazy = sequences.write_shards(docs, folder, length=16, per_shard=8)
+    marker.write_text("less")
+    with pytest.raises(Exception, match="split in another way"):
+        lazy.toPandas()
+
+
+def test_sequences_of_tasks_without_rows(spark):
+    docs, folder = make(spark, [(1, "one two"), (2, None)]).repartition(7), new_path(spark, "test")
+    out = sequences.write_shards(docs, folder, length=4, per_shard=2).toPandas()
+    ids = Counter(i for r, n in zip(sequences.read_slots(folder), out.sort_values("slot").n_tokens) for i in r[:n].tolist())
+    assert ids == Counter(i for x in plain_ids(["one two", ""]) for i in [*x, 0])
+
+
+def test_sequences_refuse_ids_that_do_not_fit(spark):
+    with pytest.raises(Exception, match="does not fit 1 bytes"):
+        sequences.write_shards(make(spark, [(1, "one two größe")]), new_path(spark, "test"), bytes_per_id=1)
+
+
 # near duplicates
 
 

@@ -6,24 +6,28 @@ sequence numbers [0, N) onto global slots [0, N); a slot's shard and byte offset
 second pass owns whole shards, sorts its slots and writes them as fixed-stride rows under a temporary name that is then
 renamed: a lost executor's shard is simply written again, and shards that are already whole are kept on a rerun.
 
-N must be known before the first slot: the first pass tokenises and counts, the second tokenises and writes. Nothing but
-one count a task reaches the driver.
+N must be known before the first slot: the first pass tokenises, writes each task's ids, compressed, into the shared folder
+and counts them; the second deals those ids out and deletes them as they are used, before the first shard is written. The
+second pass reads the texts too, to count its rows. A task that runs again after its ids were used tokenises its texts anew, as
+does a second evaluation, and raises unless the ids are those counted. Nothing but one row of numbers a task reaches the driver.
 
 Defined results: null texts are empty and give the closing id alone; null keys don't matter, as order comes from the
 input's tasks; an empty table writes an empty manifest and no shard; repeated rows are written each; other columns are
 not read. The input must split alike in both passes, as files do: materialise others first; a task that finds another split
-raises. Writing to a place that is in use replaces its manifest, keeps shards whose bytes are what would be written, and
-writes the others anew.
+raises, and so does an id that doesn't fit ``bytes_per_id``. Writing to a place that is in use replaces its manifest, keeps
+shards whose bytes are what would be written, and writes the others anew.
 """
 
 from __future__ import annotations
 
+import contextlib
 import json
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -34,8 +38,10 @@ from .common import new_path, slots, table
 
 LENGTH = 2048
 PER_SHARD = 2048
+PIECE = 1 << 16  # ids compressed or read at a time
 KEY = 20240229
 ROUNDS = 6
+KEPT = "task long, attempt long, n_rows long, n_ids long, crc long"
 ROWS = "sequence_id long, slot long, n_tokens long, ids_crc32 long, ids binary"
 OUT = "slot long, sequence_id long, shard long, byte_offset long, n_tokens long, ids_crc32 long"
 
@@ -64,23 +70,42 @@ def permute(index: np.ndarray, n: int, key: int = KEY, rounds: int = ROUNDS) ->
     return out.astype(np.int64)
 
 
-def _filled(texts: Iterator[pd.DataFrame], path: str, quick: bool, length: int) -> Iterator[np.ndarray]:
-    """The task's sequences: documents one after another, each closed; the last may be short."""
-    encode, parts, have = tokens.encoder(path, quick), [], 0
-    for batch in texts:
-        for text in batch["text"]:
-            ids = np.append(encode(text or ""), np.uint32(tokens.END))
-            parts.append(ids)
-            have += len(ids)
-            if have >= length:
-                whole = np.concatenate(parts)
-                edge = have - have % length
-                yield from whole[:edge].reshape(-1, length)
-                parts, have = [whole[edge:]], have - edge
+def _tokenised(batches: Iterator[pa.RecordBatch], path: str, quick: bool) -> Iterator[np.ndarray]:
+    """Each document's ids, closed."""
+    encode = tokens.encoder(path, quick)
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            yield np.append(encode(text or ""), np.uint32(tokens.END))
+
+
+def _joined(runs: Iterator[np.ndarray], length: int) -> Iterator[np.ndarray]:
+    """The runs one after another, in pieces of whole multiples of length; the last may be short."""
+    parts, have = [], 0
+    for ids in runs:
+        parts.append(ids)
+        have += len(ids)
+        if have >= length:
+            whole = np.concatenate(parts)
+            edge = have - have % length
+            yield whole[:edge]
+            parts, have = [whole[edge:]], have - edge
     if have:
         yield np.concatenate(parts)
 
 
+def _filled(runs: Iterator[np.ndarray], length: int) -> Iterator[np.ndarray]:
+    """The task's sequences; the last may be short."""
+    for piece in _joined(runs, length):
+        yield from (piece[k : k + length] for k in range(0, len(piece), length))
+
+
+def _kept(source: pa.NativeFile, kind: str) -> Iterator[np.ndarray]:
+    """The ids that the first pass has kept."""
+    with source:
+        while data := source.read(PIECE * np.dtype(kind).itemsize):
+            yield np.frombuffer(data, kind)
+
+
 def write_shards(docs: DataFrame, uri: str, length: int = LENGTH, per_shard: int = PER_SHARD, key: int = KEY, vocabulary: str | None = None, bytes_per_id: int = 2) -> DataFrame:
     """Write shard files and ``manifest.json`` under uri when evaluated; one row per sequence, with its place.
 
@@ -90,43 +115,74 @@ def write_shards(docs: DataFrame, uri: str, length: int = LENGTH, per_shard: int
     kind, stride = f"<u{bytes_per_id}", length * bytes_per_id
     texts, quick = docs.select(F.col("text").cast("string").alias("text")), tokens.quick_is_equal(path)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids_of = tokens.encoder(path, quick).count
-        total = sum(ids_of(x or "") + 1 for b in batches for x in b["text"])
-        yield pd.DataFrame({"task": [TaskContext.get().partitionId()], "n": [-(-total // length)]})
+    kept = new_path(spark, "ids")
+    kept_fs, kept_root = fs.FileSystem.from_uri(kept)
+    kept_fs.create_dir(kept_root, recursive=True)
+
+    def place(task: int, attempt: int) -> tuple[fs.FileSystem, str]:
+        kept_fs, kept_root = fs.FileSystem.from_uri(kept)
+        return kept_fs, f"{kept_root}/task-{task:08d}-{attempt}.zst"
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, attempt, n_rows, n_ids, crc = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId(), 0, 0, 0
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            nonlocal n_rows
+            for batch in batches:
+                n_rows += batch.num_rows
+                yield batch
+
+        kept_fs, name = place(task, attempt)
+        with kept_fs.open_output_stream(name, compression="zstd") as f:
+            for ids in _joined(_tokenised(counted(), path, quick), PIECE):
+                if ids.max() >> (8 * bytes_per_id):
+                    raise ValueError(f"id {ids.max()} does not fit {bytes_per_id} bytes")
+                data = ids.astype(kind).tobytes()
+                f.write(data)
+                n_ids, crc = n_ids + len(ids), zlib.crc32(data, crc)
+        yield pa.RecordBatch.from_pydict({"task": [task], "attempt": [attempt], "n_rows": [n_rows], "n_ids": [n_ids], "crc": [crc]})
 
-    counts = sorted((r.task, r.n) for r in texts.mapInPandas(count, "task int, n long").collect())  # one number a task
     first, total = {}, 0
-    for task, n in counts:
-        first[task], total = (total, total + n), total + n
+    for task, attempt, n_rows, n_ids, crc in sorted(texts.mapInArrow(keep, KEPT).collect()):  # one row a task
+        first[task], total = (total, attempt, n_rows, n_ids, crc), total + -(-n_ids // length)
     target, root = fs.FileSystem.from_uri(uri)
     target.create_dir(root, recursive=True)
     with target.open_output_stream(f"{root}/manifest.json") as f:
         f.write(json.dumps({"sequences": total, "length": length, "bytes_per_id": bytes_per_id, "per_shard": per_shard, "key": key, "rounds": ROUNDS}).encode())
 
-    def sequences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         if task not in first:
             raise RuntimeError(f"task {task} had no rows when sequences were counted: the input was split in another way")
-        begin, stop = first[task]
-        at, rows = begin, []
-
-        def frame() -> pd.DataFrame:
-            out = pd.DataFrame(rows, columns=["sequence_id", "n_tokens", "ids_crc32", "ids"])
-            out.insert(1, "slot", permute(out["sequence_id"].to_numpy(np.int64), total, key))
-            return out
-
-        for ids in _filled(batches, path, quick, length):
+        begin, attempt, n_rows, n_ids, crc = first[task]
+        kept_fs, name = place(task, attempt)
+        found, found_crc, rows = 0, 0, []
+        try:
+            source = kept_fs.open_input_stream(name, compression="zstd")
+        except FileNotFoundError:  # used before
+            source = None
+        if source and (seen := sum(b.num_rows for b in batches)) != n_rows:
+            raise RuntimeError(f"task {task} had {n_rows} rows when sequences were counted and {seen} now: the input was split in another way")
+
+        def frame() -> pa.RecordBatch:
+            number, n_tokens, crc, ids = zip(*rows)
+            slot = permute(np.array(number, np.int64), total, key)
+            return pa.RecordBatch.from_pydict({"sequence_id": number, "slot": slot, "n_tokens": n_tokens, "ids_crc32": crc, "ids": pa.array(ids, pa.binary())})
+
+        for k, ids in enumerate(_filled(_kept(source, kind) if source else _tokenised(batches, path, quick), length)):
             data = ids.astype(kind).tobytes()
-            rows.append((at, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), data.ljust(stride, b"\0")))
-            at += 1
+            rows.append((begin + k, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), data.ljust(stride, b"\0")))
+            found, found_crc = found + len(ids), zlib.crc32(data, found_crc)
             if len(rows) == 1024:
                 yield frame()
                 rows = []
+        if (found, found_crc) != (n_ids, crc):
+            raise RuntimeError(f"task {task} made {found} ids, not the {n_ids} that were counted: the input was split in another way")
         if rows:
             yield frame()
-        if at != stop:
-            raise RuntimeError(f"task {task} made {at - begin} sequences where {stop - begin} were counted: the input was split in another way")
+        if source:
+            with contextlib.suppress(FileNotFoundError):  # another attempt of this task
+                kept_fs.delete_file(name)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out_fs, out_root = fs.FileSystem.from_uri(uri)
@@ -159,7 +215,7 @@ def write_shards(docs: DataFrame, uri: str, length: int = LENGTH, per_shard: int
         if rows:
             yield close()
 
-    made = texts.mapInPandas(sequences, ROWS)
+    made = texts.mapInArrow(sequences, ROWS)
     shards = max(1, -(-total // per_shard))
     parts = min(shards, slots(spark))
     # Slots are dense and uniform, so ranges of equal width are even: no sampling pass is needed for the range partitions.
